@@ -1,0 +1 @@
+"""Every query of this library is a batch job over bounded tables; there is nothing to stream yet."""
