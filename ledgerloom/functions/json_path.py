@@ -14,13 +14,20 @@ def _kind(document: Column, path: str) -> Column:
 
 
 def json_value(document: Column, path: str) -> Column:
-    """The scalar at ``path`` as text; NULL for a missing path, an object or an array."""
-    return F.when(~_kind(document, path).rlike(_CONTAINER), F.get_json_object(document, path))
+    """The scalar at ``path`` as text; NULL for a missing path, an object or an array.
+
+    Only text that looks like a container is parsed again, to tell it from a string.
+    """
+    text = F.get_json_object(document, path)
+    return F.when(text.isNull() | ~text.rlike(r"^[\[{]"), text).when(
+        ~_kind(document, path).rlike(_CONTAINER), text
+    )
 
 
 def json_query(document: Column, path: str) -> Column:
     """The object or array at ``path`` as JSON text; NULL for a scalar or a missing path."""
-    return F.when(_kind(document, path).rlike(_CONTAINER), F.get_json_object(document, path))
+    text = F.get_json_object(document, path)
+    return F.when(text.rlike(r"^[\[{]") & _kind(document, path).rlike(_CONTAINER), text)
 
 
 def json_array(document: Column, path: str) -> Column:

@@ -14,8 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import distinct_keys, keep_absent
+from ledgerloom.operators.joins import keep_absent, keep_present
 from ledgerloom.operators.positions import with_position
+from ledgerloom.sources.workspace import materialize
 
 
 def with_new_keys(rows: DataFrame, snapshot: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -46,8 +47,12 @@ def insert_rows(
 
 
 def pick_rows(snapshot: DataFrame, predicate: Column, n: int, key: str) -> DataFrame:
-    """The keys of the first n matching rows, by key."""
-    return snapshot.filter(predicate).select(key).orderBy(key).limit(n)
+    """The keys of the first n matching rows, by key.
+
+    They become a work table of n rows: the choice is made once, and a run of changes reads its
+    snapshot once instead of twice per step.
+    """
+    return materialize(snapshot.filter(predicate).select(key).orderBy(key).limit(n), "picked")
 
 
 def delete_top(snapshot: DataFrame, predicate: Column, n: int, key: str) -> DataFrame:
@@ -101,10 +106,7 @@ def _reject_ambiguous(target: DataFrame, source: DataFrame, on: Sequence[str]) -
     repeated = (
         source.dropna(subset=list(on)).groupBy(*on).agg(F.count("*").alias("_n")).filter("_n > 1")
     )
-    if repeated.isEmpty():
-        return
-    hit = repeated.join(distinct_keys(target, *on), list(on), "left_semi")
-    if not hit.isEmpty():
+    if not repeated.isEmpty() and not keep_present(target, repeated, on).isEmpty():
         raise ValueError(f"several source rows match one target row on {', '.join(on)}")
 
 
@@ -137,7 +139,8 @@ def merge(
         target.join(renamed, same_key, "left"), target.columns, F.col("_matched"), assignments
     )
 
-    fresh = keep_absent(source, target, on)
+    # only the target keys that the source names are looked at, so a small source shuffles nothing
+    fresh = keep_absent(source, keep_present(target.select(*on), source, on), on)
     fresh = fresh.select(*(c for c in target.columns if c in source.columns and c != key or c in on))
     for name, value in (insert_constants or {}).items():
         fresh = fresh.withColumn(name, value)

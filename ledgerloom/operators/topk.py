@@ -46,20 +46,23 @@ def first_per_group(df: DataFrame, n: int, group: Sequence[str], *order: Column)
     return df.withColumn("_row", F.row_number().over(window)).filter(F.col("_row") <= n)
 
 
-def keep_highest(
-    df: DataFrame, ranked: DataFrame, n: int, group: Sequence[str], value: str, tie_break: Sequence[str] = ()
+def nth_highest(
+    ranked: DataFrame, n: int, group: Sequence[str], value: str, tie_break: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of ``df`` whose ``value`` is at least the n-th highest of their group in ``ranked``.
+    """Per group, the n-th highest ``value``, as columns for ``reaches``.
 
     ``ranked`` holds each row to be ranked once: distinct values give a dense rank, distinct
-    (item, value) rows a plain rank with ties. Only the n-th value per group goes through a window,
+    (item, value) rows a plain rank with ties. Only n rows per group and task go through the window,
     so a hot group is never sorted in one task. NULL ranks last.
     """
     order = [F.col(value).desc(), *(F.col(c) for c in tie_break)]
-    edges = (
+    return (
         first_per_group(ranked.select(*group, value, *tie_break), n, group, *order)
         .groupBy(*group)
         .agg(F.min(value).alias("_edge"), F.bool_or(F.col(value).isNull()).alias("_all"))
     )
-    kept = df.join(edges, list(group)).filter(F.col("_all") | (F.col(value) >= F.col("_edge")))
-    return kept.select(*df.columns)
+
+
+def reaches(value: str) -> Column:
+    """Whether ``value`` is at least the n-th highest of its group, after a join to ``nth_highest``."""
+    return F.col("_all") | (F.col(value) >= F.col("_edge"))

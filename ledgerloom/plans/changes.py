@@ -10,7 +10,7 @@ from ledgerloom.operators import mutation
 from ledgerloom.operators.topk import top
 from ledgerloom.sources.delimited import export_delimited, load_delimited
 from ledgerloom.sources.tables import create_table_from
-from ledgerloom.sources.workspace import materialize, new_work_path
+from ledgerloom.sources.workspace import new_work_path
 
 KEY = "customer_id"
 
@@ -43,10 +43,8 @@ def merge_scratch(customers: DataFrame) -> mutation.Merge:
     """Merge a scratch copy of the four newest customers, with two dropped and one renamed.
 
     ``customers`` is the table after the steps above up to ``rename_one_test``; its renamed row is
-    deleted before the merge, so that the copy holds both rows to update and a row to insert. The
-    changed table is written first, as each change would be: the merge reads it several times.
+    deleted before the merge, so that the copy holds both rows to update and a row to insert.
     """
-    customers = materialize(customers, "customers")
     source = create_table_from(
         customers, new_work_path(customers.sparkSession, "scratch"), 4, [F.col(KEY).desc()]
     )

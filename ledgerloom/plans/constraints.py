@@ -105,12 +105,15 @@ def key_violations(shop: Shop) -> DataFrame:
 
 
 def foreign_key_violations(shop: Shop) -> DataFrame:
+    sales_parents = {
+        "id_service": (shop.services, "id_service"),
+        "id_client": (shop.client, "id"),
+        "id_employee": (shop.employee, "id"),
+    }
     return _union(
         [
-            quality.foreign_key(shop.sales, "sales", ["id_sales"], "id_service", shop.services, "id_service"),
-            quality.foreign_key(shop.sales, "sales", ["id_sales"], "id_client", shop.client, "id"),
-            quality.foreign_key(shop.sales, "sales", ["id_sales"], "id_employee", shop.employee, "id"),
-            quality.foreign_key(shop.employee, "employee", ["id"], "skill", shop.skill, "id"),
+            quality.foreign_keys(shop.sales, "sales", ["id_sales"], sales_parents),
+            quality.foreign_keys(shop.employee, "employee", ["id"], {"skill": (shop.skill, "id")}),
         ]
     )
 

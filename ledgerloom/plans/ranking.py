@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates, text
 from ledgerloom.operators.positions import Neighbour, tile, with_neighbours, with_position
 from ledgerloom.operators.running import running_by_self_join, running_by_window
-from ledgerloom.operators.topk import first_per_group, keep_highest
+from ledgerloom.operators.topk import first_per_group, nth_highest, reaches
 from ledgerloom.plans.sales import line_amount
 
 
@@ -169,9 +169,8 @@ def _purchases(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Distinct (customer, item, price, date): what both queries below output."""
     return (
         lines.select("order_id", "item_id", "unit_price")
-        .distinct()
         .join(orders.select("order_id", "customer_id", "order_date"), "order_id")
-        .select("customer_id", "item_id", "unit_price", "order_date")
+        .select("customer_id", "item_id", "unit_price", F.col("order_date").alias("invoice_date"))
         .distinct()
     )
 
@@ -179,34 +178,41 @@ def _purchases(orders: DataFrame, lines: DataFrame) -> DataFrame:
 _PURCHASE = ["customer_id", "customer_name", "item_id", "unit_price", "invoice_date"]
 
 
-def _named_purchases(bought: DataFrame, customers: DataFrame) -> DataFrame:
-    return (
-        bought.join(customers.select("customer_id", "customer_name"), "customer_id")
-        .withColumnRenamed("order_date", "invoice_date")
-        .select(*_PURCHASE)
-    )
-
-
 def dearest_items_by_price(orders: DataFrame, lines: DataFrame, customers: DataFrame, n: int = 2) -> DataFrame:
     """What each customer bought at their n highest prices (a dense rank).
 
     The n-th distinct price per customer is found first; a rank over all purchases of one large
-    customer would run in one task.
+    customer would run in one task. Names join the prices, one row per customer each, so that the
+    purchases meet a customer key once and a large customer can be split there.
     """
     bought = _purchases(orders, lines)
     prices = bought.select("customer_id", "unit_price").distinct()
-    kept = keep_highest(bought, prices, n, ["customer_id"], "unit_price")
-    return _named_purchases(kept, customers).orderBy("customer_id", "item_id", "unit_price", "invoice_date")
+    edges = nth_highest(prices, n, ["customer_id"], "unit_price").join(
+        customers.select("customer_id", "customer_name"), "customer_id"
+    )
+    return (
+        bought.join(edges, "customer_id")
+        .filter(reaches("unit_price"))
+        .select(*_PURCHASE)
+        .orderBy("customer_id", "item_id", "unit_price", "invoice_date")
+    )
 
 
 def dearest_items_by_rank(orders: DataFrame, lines: DataFrame, customers: DataFrame, n: int = 2) -> DataFrame:
     """All purchases of the n dearest items of each customer, ties included, at any price."""
     bought = _purchases(orders, lines)
     priced = bought.select("customer_id", "item_id", "unit_price").distinct()
+    edges = nth_highest(priced, n, ["customer_id"], "unit_price", ["item_id"]).join(
+        customers.select("customer_id", "customer_name"), "customer_id"
+    )
     chosen = (
-        keep_highest(priced, priced, n, ["customer_id"], "unit_price", ["item_id"])
-        .select("customer_id", "item_id")
+        priced.join(edges, "customer_id")
+        .filter(reaches("unit_price"))
+        .select("customer_id", "customer_name", "item_id")
         .distinct()
     )
-    kept = bought.join(chosen, ["customer_id", "item_id"], "left_semi")
-    return _named_purchases(kept, customers).orderBy("customer_id", "unit_price", "item_id", "invoice_date")
+    return (
+        bought.join(chosen, ["customer_id", "item_id"])
+        .select(*_PURCHASE)
+        .orderBy("customer_id", "unit_price", "item_id", "invoice_date")
+    )

@@ -90,7 +90,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
         c.sales, c.lines, c.items, c.customers, c.cities, c.people
     ),
     "top_item_cities_cte": lambda c: subqueries.top_item_cities(
-        c.sales, c.lines, c.items, c.customers, c.cities, c.people
+        c.orders, c.lines, c.items, c.customers, c.cities, c.people
     ),
     "large_invoices_picked": lambda c: subqueries.large_invoices_picked(
         c.orders, c.lines, c.people, 10_000_000

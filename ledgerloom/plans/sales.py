@@ -66,8 +66,7 @@ def slow_items_by_month(
     ``zero_filled`` adds one row of zeros, without an item, per month that sold nothing.
     """
     cells = (
-        lines.groupBy("order_id", "item_id")
-        .agg(F.sum(line_amount()).alias("amount"), F.sum("quantity").alias("quantity"))
+        lines.select("order_id", "item_id", "quantity", line_amount().alias("amount"))
         .join(orders.select("order_id", "order_date"), "order_id")
         .groupBy(
             F.year("order_date").alias("year"), F.month("order_date").alias("month"), "item_id"

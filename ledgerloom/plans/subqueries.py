@@ -76,17 +76,21 @@ def top_payers_join(customers: DataFrame, payments: DataFrame, n: int = 5) -> Da
 
 
 def top_item_cities(
-    sales: DataFrame, lines: DataFrame, items: DataFrame, customers: DataFrame, cities: DataFrame,
+    orders: DataFrame, lines: DataFrame, items: DataFrame, customers: DataFrame, cities: DataFrame,
     people: DataFrame, n: int = 3,
 ) -> DataFrame:
     """Cities that were sent one of the dearest items, and who picked the orders ('--' if nobody).
 
-    Duplicates go before each join: order keys, then (customer, picker), then (city, picker).
+    The lines are cut down to the orders concerned first, and duplicates go before each join:
+    (order, picker), then (customer, picker), then (city, picker).
     """
     dearest = top_with_ties(items, n, "unit_price")
     orders_with = distinct_keys(keep_present(lines, dearest, ["item_id"]), "order_id")
+    picked = lines.join(orders_with, "order_id", "left_semi").select("order_id", "picker_id").distinct()
     picks = (
-        sales.join(orders_with, "order_id", "left_semi").select("customer_id", "picker_id").distinct()
+        picked.join(orders.select("order_id", "customer_id"), "order_id")
+        .select("customer_id", "picker_id")
+        .distinct()
     )
     places = picks.join(customers, "customer_id").select("city_id", "picker_id").distinct()
     return _named_places(places, cities, people)
