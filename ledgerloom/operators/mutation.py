@@ -127,6 +127,8 @@ def merge(
     The target is the left side of a left join rather than of a full join: it then stays in
     place when the source is small, and a hot key in it can be split when it is not.
     """
+    # read several times below, and often the result of parsing files
+    source = materialize(source, "merge-source")
     _reject_ambiguous(target, source, on)
 
     renamed = source.select(

@@ -12,6 +12,7 @@ from ledgerloom.operators.positions import Neighbour, tile, with_neighbours, wit
 from ledgerloom.operators.running import running_by_self_join, running_by_window
 from ledgerloom.operators.topk import first_per_group, nth_highest, reaches
 from ledgerloom.plans.sales import line_amount
+from ledgerloom.sources.workspace import materialize
 
 
 def _running_total(
@@ -166,13 +167,17 @@ def last_customer_per_salesperson(
 
 
 def _purchases(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Distinct (customer, item, price, date): what both queries below output."""
-    return (
+    """Distinct (customer, item, price, date): what both queries below output.
+
+    Written once, because the rank and the result each read it and would join all lines again.
+    """
+    bought = (
         lines.select("order_id", "item_id", "unit_price")
         .join(orders.select("order_id", "customer_id", "order_date"), "order_id")
         .select("customer_id", "item_id", "unit_price", F.col("order_date").alias("invoice_date"))
         .distinct()
     )
+    return materialize(bought, "purchases")
 
 
 _PURCHASE = ["customer_id", "customer_name", "item_id", "unit_price", "invoice_date"]
