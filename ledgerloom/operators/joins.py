@@ -1,4 +1,11 @@
-"""Semi- and anti-joins whose probe side may be dominated by one key."""
+"""Semi- and anti-joins when one key may hold a large part of the rows.
+
+The adaptive skew rule splits a hot key only on the left of a semi- or anti-join, and only if both
+inputs come straight out of a shuffle. So there are two cases:
+
+* the right side is the large, repetitive one: reduce it to distinct keys first (the functions here);
+* the left side is: join it to the plain right side, or to a work table, with ``left_semi``.
+"""
 
 from __future__ import annotations
 
@@ -12,18 +19,20 @@ from pyspark.sql import functions as F
 def distinct_keys(df: DataFrame, *columns: str) -> DataFrame:
     """Each non-NULL key once.
 
-    Partial aggregation collapses a hot key before the shuffle; the adaptive skew rule cannot
-    split the right side of a semi- or anti-join.
+    Partial aggregation collapses a hot key before the shuffle.
     """
     present = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns))
     return df.filter(present).select(*columns).distinct()
 
 
 def keep_present(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``other``."""
+    """Rows of ``df`` whose key occurs in ``other``; ``df`` holds a key only a few times."""
     return df.join(distinct_keys(other, *on), list(on), "left_semi")
 
 
 def keep_absent(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key does not occur in ``other``; a NULL key occurs nowhere."""
+    """Rows of ``df`` whose key does not occur in ``other``; a NULL key occurs nowhere.
+
+    ``df`` holds a key only a few times.
+    """
     return df.join(distinct_keys(other, *on), list(on), "left_anti")

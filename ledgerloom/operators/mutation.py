@@ -106,7 +106,7 @@ def _reject_ambiguous(target: DataFrame, source: DataFrame, on: Sequence[str]) -
     repeated = (
         source.dropna(subset=list(on)).groupBy(*on).agg(F.count("*").alias("_n")).filter("_n > 1")
     )
-    if not repeated.isEmpty() and not keep_present(target, repeated, on).isEmpty():
+    if not repeated.isEmpty() and not keep_present(repeated, target, on).isEmpty():
         raise ValueError(f"several source rows match one target row on {', '.join(on)}")
 
 
@@ -142,7 +142,8 @@ def merge(
     )
 
     # only the target keys that the source names are looked at, so a small source shuffles nothing
-    fresh = keep_absent(source, keep_present(target.select(*on), source, on), on)
+    named = target.select(*on).join(source.select(*on).dropna(), list(on), "left_semi")
+    fresh = keep_absent(source, named, on)
     fresh = fresh.select(*(c for c in target.columns if c in source.columns and c != key or c in on))
     for name, value in (insert_constants or {}).items():
         fresh = fresh.withColumn(name, value)

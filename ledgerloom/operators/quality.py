@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import distinct_keys
+from ledgerloom.sources.workspace import materialize
+
 
 @dataclass(frozen=True)
 class RowRule:
@@ -92,19 +95,22 @@ def unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
 def foreign_keys(
     child: DataFrame, table: str, key: Sequence[str], parents: dict[str, tuple[DataFrame, str]]
 ) -> DataFrame:
-    """Child rows whose non-NULL reference has no parent, all references of a table in one pass.
+    """Child rows whose non-NULL reference has no parent.
 
-    ``parents`` names the parent and its key for each referencing column. A parent key is unique
-    after ``distinct``, so the joins neither add rows nor stop a hot reference from being split.
+    ``parents`` names the parent and its key for each referencing column. The distinct references
+    meet the parents first, so a hot one counts once. The orphan values are written, and a last pass
+    marks the child rows that hold them: without a shuffle as long as orphans are few.
     """
-    checked = child.select(*dict.fromkeys([*key, *parents]))
+    marked = child.select(*dict.fromkeys([*key, *parents]))
     rules = []
     for column, (parent, parent_column) in parents.items():
-        known = parent.select(F.col(parent_column).alias(column)).dropna().distinct()
-        checked = checked.join(known.withColumn(f"_known_{column}", F.lit(True)), column, "left")
-        missing = F.col(column).isNotNull() & F.col(f"_known_{column}").isNull()
-        rules.append(RowRule(f"foreign_key_{column}", missing, F.col(column)))
-    return row_violations(checked, table, key, rules)
+        known = parent.select(F.col(parent_column).alias(column))
+        orphans = materialize(
+            distinct_keys(child, column).join(known, column, "left_anti"), f"orphans-{column}"
+        )
+        marked = marked.join(orphans.withColumn(f"_orphan_{column}", F.lit(True)), column, "left")
+        rules.append(RowRule(f"foreign_key_{column}", F.col(f"_orphan_{column}"), F.col(column)))
+    return row_violations(marked, table, key, rules)
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:

@@ -105,6 +105,7 @@ def key_violations(shop: Shop) -> DataFrame:
 
 
 def foreign_key_violations(shop: Shop) -> DataFrame:
+    """References without a parent. ``shop.sales`` is read once per reference and once more."""
     sales_parents = {
         "id_service": (shop.services, "id_service"),
         "id_client": (shop.client, "id"),

@@ -130,13 +130,13 @@ def last_customer_per_salesperson(
     """The latest invoice of each salesperson, with its customer and amount.
 
     The latest date and, within it, the highest order are maxima over plain columns, so hash
-    aggregation reduces a busy salesperson to one row per date before any shuffle. Amounts are
-    summed only for the orders found.
+    aggregation reduces a busy salesperson to one row per date before any shuffle. The result, one
+    row per salesperson, is written; amounts are summed only for its orders.
     """
     dated = lines.select("order_id", "salesperson_id").join(
         orders.select("order_id", "customer_id", "order_date"), "order_id"
     )
-    latest = (
+    latest = materialize(
         dated.groupBy("salesperson_id", "order_date")
         .agg(F.max("order_id").alias("order_id"), F.max_by("customer_id", "order_id").alias("customer_id"))
         .groupBy("salesperson_id")
@@ -144,10 +144,11 @@ def last_customer_per_salesperson(
             F.max("order_date").alias("order_date"),
             F.max_by("order_id", "order_date").alias("order_id"),
             F.max_by("customer_id", "order_date").alias("customer_id"),
-        )
+        ),
+        "latest",
     )
     amounts = (
-        lines.join(latest.select("order_id").distinct(), "order_id", "left_semi")
+        lines.join(latest, "order_id", "left_semi")
         .groupBy("order_id")
         .agg(F.sum(line_amount()).alias("invoice_amount"))
     )
@@ -187,16 +188,17 @@ def dearest_items_by_price(orders: DataFrame, lines: DataFrame, customers: DataF
     """What each customer bought at their n highest prices (a dense rank).
 
     The n-th distinct price per customer is found first; a rank over all purchases of one large
-    customer would run in one task. Names join the prices, one row per customer each, so that the
-    purchases meet a customer key once and a large customer can be split there.
+    customer would run in one task. Names join these prices, one row per customer each, and the
+    outcome is written: the purchases then meet a customer key once, in a join that can split it.
     """
     bought = _purchases(orders, lines)
     prices = bought.select("customer_id", "unit_price").distinct()
-    edges = nth_highest(prices, n, ["customer_id"], "unit_price").join(
-        customers.select("customer_id", "customer_name"), "customer_id"
+    edges = nth_highest(prices, n, ["customer_id"], "unit_price")
+    named = materialize(
+        edges.join(customers.select("customer_id", "customer_name"), "customer_id"), "edges"
     )
     return (
-        bought.join(edges, "customer_id")
+        bought.join(named, "customer_id")
         .filter(reaches("unit_price"))
         .select(*_PURCHASE)
         .orderBy("customer_id", "item_id", "unit_price", "invoice_date")
@@ -207,17 +209,11 @@ def dearest_items_by_rank(orders: DataFrame, lines: DataFrame, customers: DataFr
     """All purchases of the n dearest items of each customer, ties included, at any price."""
     bought = _purchases(orders, lines)
     priced = bought.select("customer_id", "item_id", "unit_price").distinct()
-    edges = nth_highest(priced, n, ["customer_id"], "unit_price", ["item_id"]).join(
-        customers.select("customer_id", "customer_name"), "customer_id"
-    )
-    chosen = (
-        priced.join(edges, "customer_id")
-        .filter(reaches("unit_price"))
-        .select("customer_id", "customer_name", "item_id")
-        .distinct()
-    )
+    edges = materialize(nth_highest(priced, n, ["customer_id"], "unit_price", ["item_id"]), "edges")
+    chosen = priced.join(edges, "customer_id").filter(reaches("unit_price"))
     return (
-        bought.join(chosen, ["customer_id", "item_id"])
+        bought.join(chosen, ["customer_id", "item_id"], "left_semi")
+        .join(customers.select("customer_id", "customer_name"), "customer_id")
         .select(*_PURCHASE)
         .orderBy("customer_id", "unit_price", "item_id", "invoice_date")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ledgerloom.plans import (
     subqueries,
 )
 from ledgerloom.sources.catalog import Catalog
+from ledgerloom.sources.workspace import materialize
 
 SINCE = "1998-01-01"
 PLACES = ["NATION_2", "NATION_7", "NATION_22", "NATION_12", "NATION_17"]
@@ -48,6 +50,13 @@ def _merge_items(c: Catalog):
     return documents.merge_items(c.stock_items, documents.xml_items_source(incoming))
 
 
+def _shop_with_sales_table(c: Catalog) -> constraints.Shop:
+    """The shop with its sales, here a join, as the table they would be."""
+    shop = constraints.shop_from(c)
+    keys = shop.sales.select("id_sales", "id_service", "id_client", "id_employee")
+    return replace(shop, sales=materialize(keys, "sales"))
+
+
 def _defaults_applied(c: Catalog) -> DataFrame:
     now = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
     filled = constraints.sales_with_defaults(constraints.shop_from(c), now)
@@ -151,7 +160,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "sort_list_spaced": lambda c: parameters.sorted_lists(parameters.item_words(c.items), "data", " "),
     # constraints
     "dq_keys": lambda c: constraints.key_violations(constraints.shop_from(c)),
-    "dq_foreign_keys": lambda c: constraints.foreign_key_violations(constraints.shop_from(c)),
+    "dq_foreign_keys": lambda c: constraints.foreign_key_violations(_shop_with_sales_table(c)),
     "dq_checks": lambda c: constraints.check_violations(constraints.shop_from(c)),
     "dq_defaults": _defaults_applied,
 }

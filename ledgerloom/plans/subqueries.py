@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import distinct_keys, keep_absent, keep_present
+from ledgerloom.operators.joins import distinct_keys, keep_absent
 from ledgerloom.operators.topk import top, top_with_ties
 from ledgerloom.plans.sales import line_amount
+from ledgerloom.sources.workspace import materialize
 
 
 def idle_salespeople(people: DataFrame, sales: DataFrame, day: str) -> DataFrame:
@@ -81,11 +82,14 @@ def top_item_cities(
 ) -> DataFrame:
     """Cities that were sent one of the dearest items, and who picked the orders ('--' if nobody).
 
-    The lines are cut down to the orders concerned first, and duplicates go before each join:
-    (order, picker), then (customer, picker), then (city, picker).
+    The orders concerned are written first: their size is then known, so the lines are not shuffled
+    to meet a small set, and a hot order can be split if it is not small. Duplicates go before each
+    further join: (order, picker), (customer, picker), (city, picker).
     """
     dearest = top_with_ties(items, n, "unit_price")
-    orders_with = distinct_keys(keep_present(lines, dearest, ["item_id"]), "order_id")
+    orders_with = materialize(
+        distinct_keys(lines.join(dearest, "item_id", "left_semi"), "order_id"), "orders"
+    )
     picked = lines.join(orders_with, "order_id", "left_semi").select("order_id", "picker_id").distinct()
     picks = (
         picked.join(orders.select("order_id", "customer_id"), "order_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # An empty field is NULL; an empty string is written as two quotes.
@@ -17,6 +18,8 @@ _FORMAT = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# stands for an empty string between parser and result, where an empty text would become NULL
+_EMPTY_MARK = "\u0001"
 
 
 def export_delimited(df: DataFrame, path: str, separator: str = "@", rows_per_file: int = 1_000_000) -> None:
@@ -31,10 +34,12 @@ def load_delimited(spark: SparkSession, path: str, schema: StructType | str, sep
     inside a character, and a quoted field may hold a line end.
     """
     reader = spark.read.schema(schema).options(
-        **{k: v for k, v in _FORMAT.items() if k != "emptyValue"},
-        emptyValue="",
-        sep=separator,
-        multiLine="true",
-        mode="FAILFAST",
+        **{**_FORMAT, "emptyValue": _EMPTY_MARK}, sep=separator, multiLine="true", mode="FAILFAST"
+    )
+    loaded = reader.csv(path)
+    return loaded.select(
+        *(
+            F.when(F.col(c) == _EMPTY_MARK, "").otherwise(F.col(c)).alias(c) if t == "string" else F.col(c)
+            for c, t in loaded.dtypes
+        )
     )
-    return reader.csv(path)
