@@ -41,6 +41,14 @@ def catalog(spark, folder):
     return Catalog(spark, folder)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Sizes at which nothing is small enough to broadcast by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def rows(df):
     return [tuple(r) for r in df.collect()]
 

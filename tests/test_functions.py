@@ -94,3 +94,8 @@ def test_explode_json(spark):
     )
     found = explode_json(df, "doc", "$.Tags", "tag").filter("tag = 'Vintage'")
     assert rows(found.select("id")) == [(1,), (1,)]
+
+
+def test_any_alphabet_in_column_names(spark):
+    df = spark.createDataFrame([(1,)], "id int").select(F.col("id").alias("ИД товара"))
+    assert rows(df.filter("`ИД товара` = 1")) == [(1,)]

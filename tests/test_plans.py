@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import listings, parameters, ranking, sales, subqueries
-from ledgerloom.plans.registry import QUERIES, run
+from ledgerloom.plans.registry import run
 from tests.conftest import ordered, physical_plan, rows, same
 
 TWINS = [
@@ -23,30 +23,6 @@ def test_twins_agree(spark, folder, one, other):
     assert same(run(one, spark, folder), run(other, spark, folder))
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    """Sizes at which nothing is small enough to broadcast by itself."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-# what may pass through one task: aggregates without keys, one row per month, one per partition
-BOUNDED = ("HashAggregate(keys=[]", "HashAggregate(keys=[month#", "HashAggregate(keys=[_part#")
-
-
-@pytest.mark.parametrize("name", list(QUERIES))
-def test_no_pairs_no_python_no_full_single_task(spark, folder, no_broadcast, name):
-    plan = physical_plan(run(name, spark, folder))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "FullOuter", "SortAggregate", "EvalPython"):
-        assert bad not in plan
-    lines = plan.splitlines()
-    for number, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            below = lines[number + 1]
-            assert any(b in below for b in BOUNDED), below
-
-
 def test_existence_plans_as_anti_join(spark, folder):
     for name in ("idle_salespeople_exists", "idle_salespeople_left_join", "suppliers_without_orders"):
         assert "LeftAnti" in physical_plan(run(name, spark, folder))
