@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,21 +36,18 @@ def with_position(df: DataFrame, order: Sequence[Column], position: str = "posit
         F.shiftright("_id", _ROW_BITS).cast("int").alias("_part"),
         F.col("_id").bitwiseAND(F.lit(_ROW_MASK)).alias("_row"),
     )
-    # One row per shuffle partition, so one task and a broadcast are enough whatever the table size.
-    counts = numbered.groupBy("_part").agg(F.count("*").alias("_rows"))
-    up_to_here = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = counts.select(
-        "_part",
-        (F.sum("_rows").over(up_to_here) - F.col("_rows")).alias("_before"),
-        F.sum("_rows").over(everything).alias("_total"),
+    # one row per shuffle partition, whatever the table holds
+    counts = sorted(numbered.groupBy("_part").agg(F.count("*").alias("_rows")).collect())
+    before = list(accumulate((rows for _, rows in counts), initial=0))
+    offsets = df.sparkSession.createDataFrame(
+        [(part, start) for (part, _), start in zip(counts, before)], "_part int, _before bigint"
     )
     placed = numbered.join(F.broadcast(offsets), "_part").withColumn(
         position, F.col("_before") + F.col("_row")
     )
     if total:
-        placed = placed.withColumn(total, F.col("_total"))
-    return placed.drop("_id", "_part", "_row", "_before", "_total")
+        placed = placed.withColumn(total, F.lit(before[-1]).cast("bigint"))
+    return placed.drop("_id", "_part", "_row", "_before")
 
 
 @dataclass(frozen=True)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: StructType | str) -> DataFrame:
+    """Scan with a declared schema, so that building a query starts no job to look at the files."""
+    return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:

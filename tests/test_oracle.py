@@ -30,8 +30,8 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
-# what may pass through one task: aggregates without keys, one row per month, one per partition
-BOUNDED = ("HashAggregate(keys=[]", "HashAggregate(keys=[month#", "HashAggregate(keys=[_part#")
+# what may pass through one task: aggregates without keys, one row per month
+BOUNDED = ("HashAggregate(keys=[]", "HashAggregate(keys=[month#")
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "FullOuter", "SortAggregate", "EvalPython")
 
 
