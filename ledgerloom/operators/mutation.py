@@ -141,8 +141,11 @@ def merge(
         target.join(renamed, same_key, "left"), target.columns, F.col("_matched"), assignments
     )
 
-    # only the target keys that the source names are looked at, so a small source shuffles nothing
-    named = target.select(*on).join(source.select(*on).dropna(), list(on), "left_semi")
+    # Only the target keys that the source names are looked at, so a small source shuffles nothing;
+    # written before they are made distinct, so that a hot key can be split in the join.
+    named = materialize(
+        target.select(*on).join(source.select(*on).dropna(), list(on), "left_semi"), "named"
+    )
     fresh = keep_absent(source, named, on)
     fresh = fresh.select(*(c for c in target.columns if c in source.columns and c != key or c in on))
     for name, value in (insert_constants or {}).items():

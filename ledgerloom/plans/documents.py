@@ -25,10 +25,10 @@ ITEM_COLUMNS = [
 ]
 
 
-def xml_of(items: DataFrame) -> str:
-    """Write items as XML, newest first, and return where."""
+def xml_of(items: DataFrame, order: str = "item_id") -> str:
+    """Write items as XML, highest first, and return where."""
     path = new_work_path(items.sparkSession, "items-xml")
-    export_items(items, path, F.col("item_id").desc())
+    export_items(items, path, F.col(order).desc())
     return path
 
 
@@ -42,6 +42,12 @@ def xml_items_shred(items: DataFrame) -> DataFrame:
     return shred_items(read_documents(items.sparkSession, xml_of(items)))
 
 
+def xml_export_round_trip(items: DataFrame) -> DataFrame:
+    """Items exported, loaded, exported again from what was loaded, and loaded from that."""
+    loaded = xml_items_source(items)
+    return read_items(items.sparkSession, xml_of(loaded, "item_name"))
+
+
 def merge_items(items: DataFrame, incoming: DataFrame) -> Merge:
     """Update items by name from ``incoming``; add unknown names under a new key."""
     return merge(

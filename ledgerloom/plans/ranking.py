@@ -131,7 +131,8 @@ def last_customer_per_salesperson(
 
     The latest date and, within it, the highest order are maxima over plain columns, so hash
     aggregation reduces a busy salesperson to one row per date before any shuffle. The result, one
-    row per salesperson, is written; amounts are summed only for its orders.
+    row per salesperson, is written; amounts are summed only for its orders. Their lines are written
+    too: summing by the join's own key in one stage would keep a hot order from being split.
     """
     dated = lines.select("order_id", "salesperson_id").join(
         orders.select("order_id", "customer_id", "order_date"), "order_id"
@@ -147,11 +148,10 @@ def last_customer_per_salesperson(
         ),
         "latest",
     )
-    amounts = (
-        lines.join(latest, "order_id", "left_semi")
-        .groupBy("order_id")
-        .agg(F.sum(line_amount()).alias("invoice_amount"))
+    found = materialize(
+        lines.join(latest, "order_id", "left_semi").select("order_id", "unit_price", "quantity"), "found"
     )
+    amounts = found.groupBy("order_id").agg(F.sum(line_amount()).alias("invoice_amount"))
     return (
         latest.join(amounts, "order_id")
         .join(customers.select("customer_id", "customer_name"), "customer_id")

@@ -147,7 +147,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "xml_items_shred": lambda c: documents.xml_items_shred(c.stock_items),
     "xml_items_merge": lambda c: _merge_items(c).snapshot,
     "xml_items_merge_log": lambda c: _merge_items(c).changes,
-    "xml_export_round_trip": lambda c: documents.xml_items_source(c.stock_items),
+    "xml_export_round_trip": lambda c: documents.xml_export_round_trip(c.stock_items),
     "json_fields": lambda c: documents.json_fields(c.item_fields),
     "json_tag_search": lambda c: documents.json_tag_search(c.item_fields, "ring"),
     # query functions
@@ -159,7 +159,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "sort_list": lambda c: parameters.sorted_lists(parameters.item_words(c.items), "data"),
     "sort_list_spaced": lambda c: parameters.sorted_lists(parameters.item_words(c.items), "data", " "),
     # constraints
-    "dq_keys": lambda c: constraints.key_violations(constraints.shop_from(c)),
+    "dq_keys": lambda c: constraints.key_violations(_shop_with_sales_table(c)),
     "dq_foreign_keys": lambda c: constraints.foreign_key_violations(_shop_with_sales_table(c)),
     "dq_checks": lambda c: constraints.check_violations(constraints.shop_from(c)),
     "dq_defaults": _defaults_applied,

@@ -83,16 +83,19 @@ def top_item_cities(
     """Cities that were sent one of the dearest items, and who picked the orders ('--' if nobody).
 
     The orders concerned are written first: their size is then known, so the lines are not shuffled
-    to meet a small set, and a hot order can be split if it is not small. Duplicates go before each
-    further join: (order, picker), (customer, picker), (city, picker).
+    to meet a small set. Their lines are written next: removing duplicates by the join's own key in one
+    stage would keep a hot order from being split. Duplicates go before each further join.
     """
     dearest = top_with_ties(items, n, "unit_price")
     orders_with = materialize(
         distinct_keys(lines.join(dearest, "item_id", "left_semi"), "order_id"), "orders"
     )
-    picked = lines.join(orders_with, "order_id", "left_semi").select("order_id", "picker_id").distinct()
+    picked = materialize(
+        lines.join(orders_with, "order_id", "left_semi").select("order_id", "picker_id"), "picked"
+    )
     picks = (
-        picked.join(orders.select("order_id", "customer_id"), "order_id")
+        picked.distinct()
+        .join(orders.select("order_id", "customer_id"), "order_id")
         .select("customer_id", "picker_id")
         .distinct()
     )
