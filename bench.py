@@ -51,11 +51,7 @@ def main() -> None:
         "bench",
         f"local[{cpus}]",
         int(cpus),
-        **{
-            "spark.ui.enabled": "false",
-            "spark.driver.memory": "8g",
-            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
-        },
+        **{"spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

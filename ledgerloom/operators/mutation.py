@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,12 +101,26 @@ class Merge:
     changes: DataFrame
 
 
+_MATCH = "_match_"
+
+
+def _with_match_keys(df: DataFrame, on: Sequence[str], ignore_case: bool) -> DataFrame:
+    types = dict(df.dtypes)
+    return df.withColumns(
+        {
+            _MATCH + c: F.lower(c) if ignore_case and types[c] == "string" else F.col(c)
+            for c in on
+        }
+    )
+
+
 def _reject_ambiguous(target: DataFrame, source: DataFrame, on: Sequence[str]) -> None:
     repeated = (
         source.dropna(subset=list(on)).groupBy(*on).agg(F.count("*").alias("_n")).filter("_n > 1")
     )
     if not repeated.isEmpty() and not keep_present(repeated, target, on).isEmpty():
-        raise ValueError(f"several source rows match one target row on {', '.join(on)}")
+        names = ", ".join(c.removeprefix(_MATCH) for c in on)
+        raise ValueError(f"several source rows match one target row on {names}")
 
 
 def merge(
@@ -117,37 +130,38 @@ def merge(
     updates: Sequence[str],
     key: str | None = None,
     insert_constants: Mapping[str, Column] | None = None,
+    ignore_case: bool = False,
 ) -> Merge:
     """Update target rows that match a source row on ``on``; insert source rows that match none.
 
     ``updates`` are the columns a match takes from the source. Inserted rows take every shared
     column, then ``insert_constants``, and a new ``key`` if one is named. A target row matched
-    twice is an error. Matched rows are logged as UPDATE even if nothing differs.
+    twice is an error. Matched rows are logged as UPDATE even if nothing differs. ``ignore_case``
+    matches text columns of ``on`` as names are compared elsewhere.
 
     The target is the left side of a left join rather than of a full join: it then stays in
     place when the source is small, and a hot key in it can be split when it is not.
     """
     # read several times below, and often the result of parsing files
-    source = materialize(source, "merge-source")
-    _reject_ambiguous(target, source, on)
+    source = _with_match_keys(materialize(source, "merge-source"), on, ignore_case)
+    target = _with_match_keys(target, on, ignore_case)
+    keys = [_MATCH + c for c in on]
+    columns = [c for c in target.columns if c not in keys]
+    _reject_ambiguous(target, source, keys)
 
     renamed = source.select(
-        *(F.col(c).alias(f"_source_{c}") for c in dict.fromkeys([*on, *updates])),
-        F.lit(True).alias("_matched"),
+        *keys, *(F.col(c).alias(f"_source_{c}") for c in updates), F.lit(True).alias("_matched")
     )
-    same_key = reduce(lambda a, b: a & b, (F.col(c) == F.col(f"_source_{c}") for c in on))
     assignments = {c: F.col(f"_source_{c}") for c in updates}
-    updated = _assigned(
-        target.join(renamed, same_key, "left"), target.columns, F.col("_matched"), assignments
-    )
+    updated = _assigned(target.join(renamed, keys, "left"), columns, F.col("_matched"), assignments)
 
     # Only the target keys that the source names are looked at, so a small source shuffles nothing;
     # written before they are made distinct, so that a hot key can be split in the join.
     named = materialize(
-        target.select(*on).join(source.select(*on).dropna(), list(on), "left_semi"), "named"
+        target.select(*keys).join(source.select(*keys).dropna(), keys, "left_semi"), "named"
     )
-    fresh = keep_absent(source, named, on)
-    fresh = fresh.select(*(c for c in target.columns if c in source.columns and c != key or c in on))
+    fresh = keep_absent(source, named, keys)
+    fresh = fresh.select(*(c for c in columns if c in source.columns and c != key or c in on))
     for name, value in (insert_constants or {}).items():
         fresh = fresh.withColumn(name, value)
     if key:
@@ -157,19 +171,19 @@ def merge(
     inserted = fresh.select(
         *(
             (F.col(c) if c in fresh.columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in target.columns
+            for c in columns
         )
     )
 
-    matched = target.join(renamed, same_key)
+    matched = target.join(renamed, keys)
     update_log = matched.select(
-        *(F.col(c).alias(f"deleted_{c}") for c in target.columns),
+        *(F.col(c).alias(f"deleted_{c}") for c in columns),
         F.lit("UPDATE").alias("action"),
-        *(assignments.get(c, F.col(c)).cast(types[c]).alias(f"inserted_{c}") for c in target.columns),
+        *(assignments.get(c, F.col(c)).cast(types[c]).alias(f"inserted_{c}") for c in columns),
     )
     insert_log = inserted.select(
-        *(F.lit(None).cast(types[c]).alias(f"deleted_{c}") for c in target.columns),
+        *(F.lit(None).cast(types[c]).alias(f"deleted_{c}") for c in columns),
         F.lit("INSERT").alias("action"),
-        *(F.col(c).alias(f"inserted_{c}") for c in target.columns),
+        *(F.col(c).alias(f"inserted_{c}") for c in columns),
     )
     return Merge(updated.unionByName(inserted), update_log.unionByName(insert_log))

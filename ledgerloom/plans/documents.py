@@ -57,6 +57,7 @@ def merge_items(items: DataFrame, incoming: DataFrame) -> Merge:
         ITEM_COLUMNS,
         key="item_id",
         insert_constants={"last_edited_by": F.lit(1)},
+        ignore_case=True,
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, text
-from ledgerloom.operators.joins import distinct_keys, keep_absent, keep_present
+from ledgerloom.operators.joins import keep_absent
 from ledgerloom.operators.topk import page, top
 
 
@@ -94,7 +94,7 @@ def purchase_delivery(
     due = purchases.filter(
         F.col("is_finalized") & F.col("expected_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
     )
-    wanted = methods.filter(F.col("method_name").isin(*method_names))
+    wanted = methods.filter(F.lower("method_name").isin(*(m.lower() for m in method_names)))
     return (
         due.join(suppliers.join(wanted, "method_id"), "supplier_id")
         .join(contacts.withColumnRenamed("person_id", "contact_id"), "contact_id")
@@ -132,9 +132,13 @@ def buyers_of_item(
 
     A best seller is split where lines meet items; after that only distinct orders and customers go on.
     """
-    wanted = items.filter(F.col("item_name") == item_name)
-    bought = lines.join(wanted, "item_id", "left_semi")
-    buyers = orders.join(distinct_keys(bought, "order_id"), "order_id", "left_semi")
-    return keep_present(customers, buyers, ["customer_id"]).select(
-        "customer_id", "customer_name", "segment", F.lit(item_name).alias("item_name")
+    wanted = items.filter(text.same_text(F.col("item_name"), item_name)).select("item_id", "item_name")
+    bought = lines.join(wanted, "item_id").select("order_id", "item_name").distinct()
+    buyers = (
+        bought.join(orders.select("order_id", "customer_id"), "order_id")
+        .select("customer_id", "item_name")
+        .distinct()
+    )
+    return customers.join(buyers, "customer_id").select(
+        "customer_id", "customer_name", "segment", "item_name"
     )

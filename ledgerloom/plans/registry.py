@@ -77,7 +77,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     ),
     "latest_sales": lambda c: listings.latest_sales(c.sales, c.customers, c.people),
     "buyers_of_item": lambda c: listings.buyers_of_item(
-        c.orders, c.lines, c.items, c.customers, "blue bolt"
+        c.orders, c.lines, c.items, c.customers, "Blue BOLT"
     ),
     # monthly sales
     "monthly_sales": lambda c: sales.monthly_sales(c.orders, c.lines),

@@ -88,6 +88,17 @@ def test_merge_one_source_row_may_hit_many(spark):
     assert ordered(merge(target, source, ["name"], ["v"], key="id").snapshot) == [(1, "a", 9), (2, "a", 9)]
 
 
+def test_merge_by_name_ignores_case_on_request(spark, people):
+    source = spark.createDataFrame([("ANN", 11), ("Test_Bob", 21)], "name string, score int")
+    found = merge(people, source, ["name"], ["score"], key="id", ignore_case=True).snapshot
+    assert ordered(found.filter("id < 3")) == [(1, "ann", 11), (2, "TEST_bob", 21)]
+    assert found.count() == 4
+    twice = spark.createDataFrame([("ann", 1), ("ANN", 2)], "name string, score int")
+    with pytest.raises(ValueError, match="on name"):
+        merge(people, twice, ["name"], ["score"], key="id", ignore_case=True)
+    assert merge(people, source, ["name"], ["score"], key="id").snapshot.count() == 6
+
+
 def test_merge_rejects_two_source_rows_for_one_target(spark, people):
     twice = spark.createDataFrame([("ann", 1), ("ann", 2)], "name string, score int")
     with pytest.raises(ValueError, match="several source rows"):
