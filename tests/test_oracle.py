@@ -6,8 +6,8 @@ import pytest
 import __spark_entry__ as entry_file
 from tests.conftest import physical_plan
 
-QUERIES = entry_file.queries()
-ORACLE = entry_file.oracle_sql()
+QUERIES = {name: q for name, q in entry_file.queries().items() if name in entry_file.QUERIES}
+ORACLE = entry_file.ORACLE
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 SELECTIVE = {"big_months"}  # its limit suits larger tables
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
