@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, mixing, packing, url_filter
+from ledgerloom.llm import exact_dedup, mixing, packing, token_counts, url_filter
+
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +24,17 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, folder, "pages"))
 
 
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Place of a public vocabulary file on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, folder, "documents"), vocabulary_path())
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     sha = exact_dedup.text_sha256(F.col("text"))
@@ -38,5 +51,5 @@ def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_length_buckets, op3_url_filter, op7_exact_dedup, op10_curriculum_mix)
+    f.__name__: f for f in (op1_length_buckets, op3_url_filter, op4_token_counts, op7_exact_dedup, op10_curriculum_mix)
 }
