@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, mixing, neighbours, packing, token_counts, url_filter
+from ledgerloom.llm import exact_dedup, mixing, neighbours, packing, quality, token_counts, url_filter
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -42,6 +42,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_quality_machine(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0)
@@ -58,6 +62,6 @@ def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_length_buckets, op3_url_filter, op4_token_counts, op7_exact_dedup, op9_cross_polytope, op10_curriculum_mix,
+        op1_length_buckets, op3_url_filter, op4_token_counts, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
     )
 }
