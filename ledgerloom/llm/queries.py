@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, mixing, neighbours, packing, quality, token_counts, url_filter
+from ledgerloom.llm import exact_dedup, jaccard_join, mixing, neighbours, packing, quality, token_counts, url_filter
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -35,6 +35,10 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), vocabulary_path())
 
 
+def op6_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similar_classes(_table(spark, folder, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     sha = exact_dedup.text_sha256(F.col("text"))
@@ -62,6 +66,6 @@ def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_length_buckets, op3_url_filter, op4_token_counts, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
+        op1_length_buckets, op3_url_filter, op4_token_counts, op6_chosen_path, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
     )
 }
