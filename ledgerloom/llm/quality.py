@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.labelled import fold, labelled_sample
+
 WORD_BUCKETS = 1 << 14
 # metadata and structure statistics, each as a value and as one of BINS intervals
 STATS = 14
@@ -142,33 +144,6 @@ def train(rows: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray, int]], seed:
     return Machine(edges, float(bias), linear, factors)
 
 
-def fold(id_col: Column, folds: int) -> Column:
-    """crc32 of the id as text, modulo ``folds``; NULL for a NULL id."""
-    return F.crc32(id_col.cast("string").cast("binary")) % folds
-
-
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int, chars: int, id_col: str = "doc_id"
-) -> DataFrame:
-    """Up to ``rows`` labelled rows outside ``held_out``, as (id, label, text), the same at every run.
-
-    Rows are drawn by the hash of their id, first the ids alone; texts over ``chars`` characters are
-    not used to learn from. Both bounds hold what the driver gets, whatever the tables' size.
-    """
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out).select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"))
-    fit = docs.filter(F.length("text") <= chars).select(F.col(id_col).alias("_doc"), F.xxhash64("text").alias("_text"))
-    drawn = (
-        known.join(fit, F.col("_id") == F.col("_doc"))
-        .select("_id", "_label", "_text")
-        .orderBy(F.xxhash64("_id"), "_id", "_label", "_text")
-        .limit(rows)
-    )
-    # at most ``rows`` ids: small enough to broadcast by construction
-    return docs.filter(F.length("text") <= chars).join(
-        F.broadcast(drawn), (F.col(id_col) == F.col("_id")) & (F.xxhash64("text") == F.col("_text"))
-    ).select("_id", "_label", "text")
-
-
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality", rows: int = TRAIN_ROWS) -> Machine:
     """Machine for ``label``, from at most ``rows`` labelled rows of at most ``TRAIN_CHARS`` characters."""
 

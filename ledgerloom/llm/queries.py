@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, jaccard_join, mixing, neighbours, packing, quality, token_counts, url_filter
+from ledgerloom.llm import exact_dedup, jaccard_join, mixing, neighbours, packing, quality, token_counts, toxicity, url_filter
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -20,6 +20,10 @@ def op1_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op2_recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, folder, "pages"))
 
@@ -66,6 +70,6 @@ def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_length_buckets, op3_url_filter, op4_token_counts, op6_chosen_path, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
+        op1_length_buckets, op2_recurrent_toxicity, op3_url_filter, op4_token_counts, op6_chosen_path, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
     )
 }
