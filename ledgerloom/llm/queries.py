@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, jaccard_join, mixing, neighbours, packing, quality, token_counts, toxicity, url_filter
+from ledgerloom.llm import exact_dedup, jaccard_join, licenses, mixing, neighbours, packing, quality, token_counts, toxicity, url_filter
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -39,6 +39,18 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), vocabulary_path())
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(_table(spark, folder, "documents"))
+    best = F.array_max(F.transform("hits", lambda h: h["coverage"]))
+    return found.select(
+        "doc_id",
+        F.size("hits").alias("n_hits"),
+        F.array_join(F.array_sort(F.array_distinct("hits.template")), ",").alias("licenses"),
+        F.get("hits.begin", F.lit(0)).alias("first_word"),
+        best.alias("best_coverage"),
+    )
+
+
 def op6_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_classes(_table(spark, folder, "documents"))
 
@@ -70,6 +82,6 @@ def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_length_buckets, op2_recurrent_toxicity, op3_url_filter, op4_token_counts, op6_chosen_path, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
+        op1_length_buckets, op2_recurrent_toxicity, op3_url_filter, op4_token_counts, op5_license_scan, op6_chosen_path, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
     )
 }
