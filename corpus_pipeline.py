@@ -4,24 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact_dedup, mixing, packing
+from ledgerloom.llm import exact_dedup, jaccard_join, mixing, packing, quality
 from ledgerloom.sources.workspace import materialize
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the smallest id."""
     return exact_dedup.drop_exact_copies(docs)
 
 
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts, the one with the smallest id."""
+    return jaccard_join.keep_one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix in training order, one row per use."""
     return mixing.mixed_documents(docs)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket and batch of each row of the mix."""
     return packing.pack(docs)
 
 
 STAGES = [
+    ("quality classifier", keep_good),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_similar),
     ("mixing", mix_sources),
     ("packing", pack_batches),
 ]

@@ -25,6 +25,13 @@ def one_spaced(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the ids of ``gone`` (one column), whatever other columns ``docs`` has."""
+    packed = docs.select(F.struct("*").alias("_doc"))
+    ids = gone.toDF("_gone")
+    return packed.join(ids, F.col(f"_doc.{id_col}") == F.col("_gone"), "left_anti").select("_doc.*")
+
+
 def digest_of(identity: Column) -> Column:
     """Text by which rows are put into a reproducible random order; NULL ids share one digest."""
     return F.md5(F.coalesce(identity.cast("string"), F.lit("")))

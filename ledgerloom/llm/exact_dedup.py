@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import one_spaced
+from ledgerloom.llm.common import one_spaced, without
 from ledgerloom.sources.workspace import materialize
 
 PREFIX_CHARS = 128
@@ -97,5 +97,4 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     and its text stay together. Rows without an id stay.
     """
     marked = exact_groups(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    gone = marked.filter(F.col(id_col) != F.col("keep_id")).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without(docs, id_col, marked.filter(F.col(id_col) != F.col("keep_id")).select(id_col))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD
+from ledgerloom.llm.common import WORD, without
 from ledgerloom.llm.components import components
 from ledgerloom.sources.workspace import materialize
 
@@ -423,5 +423,4 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows are matched by id; rows that repeat an id and its text stay together, rows without an id stay.
     """
     marked = similar_classes(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    gone = marked.filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without(docs, id_col, marked.filter(F.col(id_col) != F.col("class_id")).select(id_col))

@@ -19,15 +19,19 @@ def labelled_sample(
     Rows are drawn by the hash of their id, first the ids alone; texts over ``chars`` characters are
     not used to learn from. Both bounds hold what the driver gets, whatever the tables' size.
     """
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out).select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"))
-    fit = docs.filter(F.length("text") <= chars).select(F.col(id_col).alias("_doc"), F.xxhash64("text").alias("_text"))
+    known = labels.filter(F.col(label).isin(0, 1) & ~held_out).select(
+        F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")
+    )
+    fit = docs.filter(F.length("text") <= chars).select(
+        F.col(id_col).alias("_doc"), F.xxhash64("text").alias("_hash"), F.col("text").alias("text")
+    )
     drawn = (
-        known.join(fit, F.col("_id") == F.col("_doc"))
+        known.join(fit.select("_doc", F.col("_hash").alias("_text")), F.col("_id") == F.col("_doc"))
         .select("_id", "_label", "_text")
+        .distinct()
         .orderBy(F.xxhash64("_id"), "_id", "_label", "_text")
         .limit(rows)
     )
     # at most ``rows`` ids: small enough to broadcast by construction
-    return docs.filter(F.length("text") <= chars).join(
-        F.broadcast(drawn), (F.col(id_col) == F.col("_id")) & (F.xxhash64("text") == F.col("_text"))
-    ).select("_id", "_label", "text")
+    found = fit.join(F.broadcast(drawn), (F.col("_doc") == F.col("_id")) & (F.col("_hash") == F.col("_text")))
+    return found.select("_id", "_label", "text").dropDuplicates()

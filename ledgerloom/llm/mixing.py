@@ -156,18 +156,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Ids must be unique; rows without an id take no part.
     """
     docs = docs.filter(F.col(id_col).isNotNull())
-    uses = mix(docs, id_col, text_col, **options).select(
-        F.col(id_col).alias("_id"), F.col("size").alias("_size"), F.inline("placements")
-    )
-    uses = uses.withColumnsRenamed({c: f"_{c}" for c in ("repeat", "position", "words")})
-    joined = docs.join(uses, F.col(id_col) == F.col("_id"))
-    cut = F.col("_words") < F.col("_size")
-    pieces = F.split(F.col(text_col), WORD_END)
-    joined = joined.withColumn(
-        text_col, F.when(cut, F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int")), "")).otherwise(F.col(text_col))
-    )
+    uses = mix(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), "size", F.inline("placements"))
+    packed = docs.select(F.struct("*").alias("_doc"))
+    joined = packed.join(uses, F.col(f"_doc.{id_col}") == F.col("_id"))
+    cut = F.col("words") < F.col("size")
+    text = F.col(f"_doc.{text_col}")
+    head = F.array_join(F.slice(F.split(text, WORD_END), F.lit(1), F.col("words").cast("int")), "")
+    changed = {text_col: head}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        joined = joined.withColumn("n_chars", F.when(cut, F.length(text_col).cast(kind)).otherwise(F.col("n_chars")))
-    ordered = joined.repartitionByRange("_position", "_id", "_repeat").sortWithinPartitions("_position", "_id", "_repeat")
-    return ordered.select(*docs.columns)
+        changed["n_chars"] = F.length(head).cast(docs.schema["n_chars"].dataType)
+    ordered = joined.repartitionByRange("position", "_id", "repeat").sortWithinPartitions("position", "_id", "repeat")
+    return ordered.select(
+        *[
+            F.when(cut, changed[c]).otherwise(F.col(f"_doc.{c}")).alias(c) if c in changed else F.col(f"_doc.{c}")
+            for c in docs.columns
+        ]
+    )
