@@ -74,7 +74,7 @@ def time_of_share(share: Column, corners: Sequence[tuple[float, float]]) -> Colu
         inside = demand - F.lit(start)
         # 2d / (w + sqrt(w^2 + 2 slope d)) is the root that also holds for slope 0
         root = F.sqrt(F.greatest(F.lit(w0 * w0) + F.lit(2 * slope) * inside, F.lit(0.0)))
-        at = F.lit(t0) + F.lit(2.0) * inside / (F.lit(w0) + root)
+        at = F.lit(t0) + F.coalesce(F.try_divide(F.lit(2.0) * inside, F.lit(w0) + root), F.lit(0.0))
         end = start + (w0 + w1) * (t1 - t0) / 2
         time = F.when(demand < F.lit(end), F.least(at, F.lit(t1))).otherwise(time)
     return time
@@ -121,7 +121,7 @@ def mix(
     def placed(repeat: Column) -> Column:
         start = F.col("source_size") * repeat + F.col("offset")
         words = F.greatest(F.least(F.col("size"), whole - start), F.lit(0))
-        share = (start + words / 2) / F.col("target")
+        share = F.try_divide(start + words / 2, F.col("target"))
         time = F.lit(None).cast("double")
         for i, corners in enumerate(schedules):
             time = F.when(F.col("rank") % len(schedules) == i, time_of_share(share, corners)).otherwise(time)
