@@ -10,12 +10,14 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerloom import build_session  # noqa: E402
 from ledgerloom.plans.registry import run  # noqa: E402
+from ledgerloom.sources.workspace import work_scope  # noqa: E402
 
 HEADLINE = [
     "running_total_by_month",
@@ -24,6 +26,9 @@ HEADLINE = [
     "customer_totals_left_join",
     "monthly_sales",
     "slow_items_by_month",
+    "slow_items_by_month_zero_filled",
+    "big_months_zero_filled",
+    "idle_salespeople_exists",
     "order_calendar",
     "order_calendar_page",
     "latest_sales",
@@ -40,6 +45,7 @@ HEADLINE = [
     "json_tag_search",
     "dq_foreign_keys",
     "dq_checks",
+    "dq_keys",
 ]
 REPEATS = 3
 
@@ -51,14 +57,19 @@ def main() -> None:
         "bench",
         f"local[{cpus}]",
         int(cpus),
-        **{"spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
 
     def once(name: str) -> float:
-        start = time.perf_counter()
-        run(name, spark, folder).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        with work_scope(spark):
+            start = time.perf_counter()
+            run(name, spark, folder).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - start
 
     seconds = {}
     for name in HEADLINE:

@@ -18,6 +18,14 @@ def same_text(name: Column, other: str) -> Column:
     return F.lower(name) == other.lower()
 
 
+def first_spelling(name: Column) -> Column:
+    """Aggregate: of names that are the same but for their case, the first one.
+
+    A set of the spellings stays in a hash aggregate, which a minimum of texts would not.
+    """
+    return F.array_min(F.collect_set(name))
+
+
 def first_letter(name: Column) -> Column:
     return F.lower(F.left(name, F.lit(1)))
 

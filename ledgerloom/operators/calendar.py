@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,12 @@ def months_between(df: DataFrame, day: str) -> DataFrame:
     )
 
 
+def months_from(spark: SparkSession, first_day: str, last_day: str) -> DataFrame:
+    """Every month from that of one day to that of another."""
+    days = spark.range(1).select(F.lit(first_day).cast("date").alias("first"), F.lit(last_day).cast("date").alias("last"))
+    return months_between(days.select(F.explode(F.array("first", "last")).alias("day")), "day")
+
+
 def with_empty_months(report: DataFrame, months: DataFrame, sold: DataFrame, zeros: dict[str, object]) -> DataFrame:
     """Add to ``report`` a row of zeros for each of ``months`` that is not in ``sold``.
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import distinct_keys
+from ledgerloom.functions.text import first_spelling
 from ledgerloom.sources.workspace import materialize
 
 
@@ -54,30 +54,33 @@ def _report(df: DataFrame, table: str, rule: Column, key: Column, detail: Column
 
 def row_violations(df: DataFrame, table: str, key: Sequence[str], rules: Sequence[RowRule]) -> DataFrame:
     """All rules of a table in one scan, no shuffle: a row yields one result per rule it breaks."""
-    broken = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    r.broken,
-                    F.struct(F.lit(r.name).alias("rule"), r.detail.cast("string").alias("detail")),
-                )
-                for r in rules
-            )
+    broken = F.array(
+        *(
+            F.when(r.broken, F.struct(F.lit(r.name).alias("rule"), r.detail.cast("string").alias("detail")))
+            for r in rules
         )
     )
-    found = df.withColumn("_broken", F.explode(broken))
+    # rules kept are NULL in the array; dropping them after the explode keeps the scan compiled
+    found = df.withColumn("_broken", F.explode(broken)).filter(F.col("_broken").isNotNull())
     return _report(found, table, F.col("_broken.rule"), _key_text(key), F.col("_broken.detail"))
 
 
+def _key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per key value; text keys count without regard to case and show their first spelling."""
+    text = [c for c in columns if dict(df.dtypes)[c] == "string"]
+    folded = [F.lower(c).alias(f"_{c}") if c in text else F.col(c) for c in columns]
+    return df.groupBy(*folded).agg(F.count("*").alias("_n"), *(first_spelling(F.col(c)).alias(c) for c in text))
+
+
 def repeated_keys(df: DataFrame, table: str, rule: str, columns: Sequence[str]) -> DataFrame:
     """Key values held by more than one row, with their number. Counted map-side first."""
-    counts = df.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    counts = _key_counts(df, columns).filter(F.col("_n") > 1)
     return _report(counts, table, F.lit(rule), _key_text(columns), F.col("_n"))
 
 
 def primary_key(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Key values that repeat, and NULL keys even when single."""
-    counts = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    counts = _key_counts(df, columns)
     any_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
     return _report(
         counts.filter((F.col("_n") > 1) | any_null),
@@ -97,18 +100,27 @@ def foreign_keys(
 ) -> DataFrame:
     """Child rows whose non-NULL reference has no parent.
 
-    ``parents`` names the parent and its key for each referencing column. The distinct references
-    meet the parents first, so a hot one counts once. The orphan values are written, and a last pass
-    marks the child rows that hold them: without a shuffle as long as orphans are few.
+    ``parents`` names the parent and its key for each referencing column. One pass over the children
+    takes all their distinct references, which meet the parents, so a hot one counts once. The orphan
+    values are written, and a second pass marks the child rows that hold them: without a shuffle as
+    long as orphans are few.
     """
+    each = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in parents))
+    references = child.select(F.inline(each)).filter(F.col("value").isNotNull()).distinct()
+    known = reduce(
+        DataFrame.unionByName,
+        (
+            parent.select(F.lit(column).alias("column"), F.col(name).cast("string").alias("value"))
+            for column, (parent, name) in parents.items()
+        ),
+    )
+    orphans = materialize(references.join(known, ["column", "value"], "left_anti"), "orphans")
     marked = child.select(*dict.fromkeys([*key, *parents]))
     rules = []
-    for column, (parent, parent_column) in parents.items():
-        known = parent.select(F.col(parent_column).alias(column))
-        orphans = materialize(
-            distinct_keys(child, column).join(known, column, "left_anti"), f"orphans-{column}"
-        )
-        marked = marked.join(orphans.withColumn(f"_orphan_{column}", F.lit(True)), column, "left")
+    for column in parents:
+        kind = child.schema[column].dataType
+        own = orphans.filter(F.col("column") == column).select(F.col("value").cast(kind).alias(column))
+        marked = marked.join(own.withColumn(f"_orphan_{column}", F.lit(True)), column, "left")
         rules.append(RowRule(f"foreign_key_{column}", F.col(f"_orphan_{column}"), F.col(column)))
     return row_violations(marked, table, key, rules)
 

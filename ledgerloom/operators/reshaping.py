@@ -7,27 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import first_spelling
+
 
 def pivot_count(df: DataFrame, row: str, key: str, counted: str, values: Sequence[str]) -> DataFrame:
     """Count ``counted`` per row and key, one column per value in the order given.
 
-    Empty cells are 0; keys outside ``values`` are ignored, but their rows still appear.
+    Empty cells are 0; keys outside ``values`` are ignored, but their rows still appear. Keys that
+    differ only in case fall into one column.
     """
-    counts = df.groupBy(row).pivot(key, list(values)).agg(F.count(counted))
-    return counts.fillna(0, subset=list(values))
+    folded = [v.lower() for v in values]
+    counts = df.withColumn("_key", F.lower(key)).groupBy(row).pivot("_key", folded).agg(F.count(counted))
+    cells = [F.coalesce(F.col(f"`{f}`"), F.lit(0)).alias(v) for f, v in zip(folded, values)]
+    return counts.select(row, *cells)
 
 
 def discovered_values(df: DataFrame, key: str) -> list[str]:
-    """The distinct values of ``key`` in order, as pivot columns.
+    """The values of ``key`` in order, as pivot columns: the names of the result's schema."""
+    return [r[0] for r in distinct_names(df, key).orderBy(F.lower(key)).collect()]
 
-    A result has one column per value, so their number is limited by ``spark.sql.pivotMaxValues``;
-    more is an error, never a cut.
-    """
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    rows = df.select(key).filter(F.col(key).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{key} has more than {limit} distinct values (spark.sql.pivotMaxValues)")
-    return sorted(r[0] for r in rows)
+
+def distinct_names(df: DataFrame, key: str) -> DataFrame:
+    """Each non-NULL name once, without regard to case, in its first spelling."""
+    named = df.filter(F.col(key).isNotNull())
+    return named.groupBy(F.lower(key).alias("_name")).agg(first_spelling(F.col(key)).alias(key)).select(key)
 
 
 def pivot_count_discovered(df: DataFrame, row: str, key: str, counted: str) -> DataFrame:

@@ -7,17 +7,39 @@ job sees only those.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.positions import with_position
+from ledgerloom.sources.workspace import materialize
+
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def page(df: DataFrame, skip: int, fetch: int, *order: Column) -> DataFrame:
-    return df.orderBy(*order).offset(skip).limit(fetch)
+def page(df: DataFrame, skip: int, fetch: int, leading: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    """Rows ``skip`` to ``skip + fetch`` in the order of the columns ``leading``, then ``rest``.
+
+    The rows are written and counted by ``leading``, which should have few values (days, not keys); the
+    counts tell which values the page touches. Only their rows are numbered, spread over tasks, so a
+    deep page costs no more than the first and no task sees the rows skipped.
+    """
+    rows = materialize(df, "page-rows")
+    earlier = Window.orderBy(*leading).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*leading).agg(F.count("*").alias("_rows"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    touched = materialize(
+        counts.filter((F.col("_before") < skip + fetch) & (F.col("_before") + F.col("_rows") > skip)), "page-values"
+    )
+    start = touched.agg(F.coalesce(F.min("_before"), F.lit(0))).first()[0]
+    wanted = touched.select(*(F.col(c).alias(f"_{c}") for c in leading))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in leading))
+    placed = with_position(rows.join(wanted, same, "left_semi"), [F.col(c) for c in (*leading, *rest)], "_place")
+    on_page = F.col("_place").between(skip - start, skip + fetch - start - 1)
+    return placed.filter(on_page).orderBy("_place").select(*df.columns)
 
 
 def top_with_ties(df: DataFrame, n: int, by: str, descending: bool = True) -> DataFrame:

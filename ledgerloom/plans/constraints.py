@@ -13,6 +13,10 @@ from ledgerloom.operators.quality import check, max_length, not_null
 from ledgerloom.sources.catalog import Catalog
 
 
+# keys from here on stand for services that do not exist
+UNKNOWN = 1_000_000_000
+
+
 @dataclass(frozen=True)
 class Shop:
     services: DataFrame
@@ -26,14 +30,18 @@ def shop_from(catalog: Catalog) -> Shop:
     """Bind the shop to the star schema.
 
     The bound columns break rules on their own: names repeat, phones of indebted clients are short,
-    emails of one segment are missing, skills go beyond the allowed three, small parts are no
-    service, and ship dates are compared with a later order date.
+    emails of one segment and some descriptions are missing, others are too long, skills go beyond the
+    allowed three, and ship dates are compared with a later order date. Some orders sell a service that
+    does not exist, and some clients take a name that differs from another's in case only.
     """
     part = catalog.raw("part")
     customer = catalog.raw("customer")
     supplier = catalog.raw("supplier")
     region = catalog.raw("region")
-    lines = catalog.raw("lineitem").join(
+    service = F.col("l_partkey")
+    unknown = (F.col("l_orderkey") % 100 == 0) & (F.col("l_linenumber") == 1)
+    sold = F.when(unknown, F.array(service, service + UNKNOWN)).otherwise(F.array(service))
+    lines = catalog.raw("lineitem").withColumn("l_partkey", F.explode(sold)).join(
         catalog.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
 
@@ -46,10 +54,12 @@ def shop_from(catalog: Catalog) -> Shop:
         return F.date_add(F.lit("1994-01-01").cast("date"), (F.col(key) % 365).cast("int"))
 
     return Shop(
-        services=part.filter(F.col("p_size") > 1).select(
+        services=part.select(
             F.col("p_partkey").alias("id_service"),
             F.col("p_name").alias("name_service"),
-            F.col("p_type").alias("description_service"),
+            F.when(F.col("p_size") == 50, F.repeat("p_type", F.lit(40)))
+            .when(F.col("p_size") != 49, F.col("p_type"))
+            .alias("description_service"),
             (F.col("p_retailprice") - 901).cast("decimal(19,2)").alias("price_service"),
         ),
         sales=lines.select(
@@ -63,7 +73,9 @@ def shop_from(catalog: Catalog) -> Shop:
         ),
         client=customer.select(
             F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("username"),
+            F.when(F.col("c_custkey") % 40 == 0, F.concat(F.lit("client "), (F.col("c_custkey") - 1).cast("string")))
+            .otherwise(F.concat(F.lit("Client "), F.col("c_custkey").cast("string")))
+            .alias("username"),
             phone("c_custkey", "c_acctbal").alias("phone"),
             F.when(F.col("c_mktsegment") != "MACHINERY", F.concat("c_name", F.lit("@example.org"))).alias("email"),
             opened("c_custkey").alias("created"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, text
 from ledgerloom.operators.reshaping import (
-    discovered_values,
+    distinct_names,
     pivot_count,
     pivot_count_discovered,
     unpivot_as_text,
@@ -46,9 +46,9 @@ def pivot_dynamic(orders: DataFrame, customers: DataFrame, key: str) -> DataFram
 def pivot_column_list(orders: DataFrame, customers: DataFrame, key: str) -> DataFrame:
     """The columns that pivot would have, as one comma-separated text."""
     bought = customers.join(orders.select("customer_id").distinct(), "customer_id", "left_semi")
-    names = discovered_values(bought, key)
-    spark = customers.sparkSession
-    return spark.range(1).select(F.lit(", ".join(names)).alias("column_list"))
+    names = distinct_names(bought, key).select(F.struct(F.lower(key).alias("k"), F.col(key).alias("v")).alias("name"))
+    ordered = F.transform(F.array_sort(F.collect_list("name")), lambda name: name["v"])
+    return names.agg(F.array_join(ordered, ", ").alias("column_list"))
 
 
 def text_in_parentheses(stores: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def unpivot_addresses(customers: DataFrame, name_contains: str, address_columns:
     """The address lines of matching customers in one column; empty lines are left out."""
     matching = customers.filter(text.contains_text(F.col("customer_name"), name_contains))
     lines = unpivot_present(matching, ["customer_name"], address_columns, "address_line")
-    return lines.select("customer_name", "address_line").orderBy("customer_name", "address_line")
+    return lines.select("customer_name", "address_line").orderBy(F.lower("customer_name"), "customer_name", "address_line")
 
 
 def unpivot_codes(rows: DataFrame, ids: Sequence[str], codes: dict[str, Column]) -> DataFrame:

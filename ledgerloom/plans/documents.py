@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_path import explode_json, json_array, json_query, json_value
-from ledgerloom.functions.text import joined
+from ledgerloom.functions.text import joined, same_text
 from ledgerloom.operators.mutation import Merge, merge
 from ledgerloom.sources.item_xml import export_items, read_documents, read_items, shred_items
 from ledgerloom.sources.workspace import new_work_path
@@ -89,7 +89,7 @@ def json_tag_search(items: DataFrame, tag: str) -> DataFrame:
     fields = F.col("custom_fields")
     return (
         explode_json(items, "custom_fields", "$.Tags", "tag")
-        .filter(F.col("tag") == tag)
+        .filter(same_text(F.col("tag"), tag))
         .select(
             "item_id",
             "item_name",

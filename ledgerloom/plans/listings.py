@@ -37,9 +37,12 @@ def _calendar_rows(
         & F.col("picking_completed").isNotNull()
     ).select("order_id", F.monotonically_increasing_id().alias("_line"))
     day = F.col("order_date")
+    # customers meet the orders, so that the lines are shuffled once
+    named = orders.select("order_id", "customer_id", "order_date").join(
+        customers.select("customer_id", "customer_name"), "customer_id"
+    )
     return (
-        qualifying.join(orders.select("order_id", "customer_id", "order_date"), "order_id")
-        .join(customers.select("customer_id", "customer_name"), "customer_id")
+        qualifying.join(named, "order_id")
         .select(
             "order_id",
             dates.dotted_date(day).alias("dd_mm_year"),
@@ -74,8 +77,8 @@ def order_calendar_page(
 ) -> DataFrame:
     """One page of the same listing."""
     rows = _calendar_rows(orders, lines, customers, min_price, min_quantity)
-    order = [F.col(c) for c in ("quarter", "third_of_year", "order_date", "order_id")]
-    return page(rows, skip, fetch, *order).drop("order_date", "_line")
+    leading = ["quarter", "third_of_year", "order_date"]
+    return page(rows, skip, fetch, leading, ["order_id", "_line"]).drop("order_date", "_line")
 
 
 def purchase_delivery(
@@ -107,11 +110,17 @@ def purchase_delivery(
     )
 
 
-def latest_sales(sales: DataFrame, customers: DataFrame, people: DataFrame, n: int = 10) -> DataFrame:
-    """The latest sales, with customer and salesperson."""
+def latest_sales(orders: DataFrame, lines: DataFrame, customers: DataFrame, people: DataFrame, n: int = 10) -> DataFrame:
+    """The latest sales, with customer and salesperson.
+
+    Customers meet the orders first: the lines are then shuffled once by order, not by customer too.
+    """
+    bought = orders.select("order_id", "order_date", "customer_id").join(
+        customers.select("customer_id", "customer_name"), "customer_id"
+    )
     named = (
-        sales.select("order_id", "line_number", "order_date", "customer_id", "salesperson_id")
-        .join(customers.select("customer_id", "customer_name"), "customer_id")
+        lines.select("order_id", "line_number", "salesperson_id")
+        .join(bought, "order_id")
         .join(
             people.select(F.col("person_id").alias("salesperson_id"), "full_name"), "salesperson_id"
         )
@@ -133,11 +142,11 @@ def buyers_of_item(
     A best seller is split where lines meet items; after that only distinct orders and customers go on.
     """
     wanted = items.filter(text.same_text(F.col("item_name"), item_name)).select("item_id", "item_name")
-    bought = lines.join(wanted, "item_id").select("order_id", "item_name").distinct()
+    bought = lines.join(wanted, "item_id").groupBy("order_id").agg(text.first_spelling(F.col("item_name")).alias("item_name"))
     buyers = (
         bought.join(orders.select("order_id", "customer_id"), "order_id")
-        .select("customer_id", "item_name")
-        .distinct()
+        .groupBy("customer_id")
+        .agg(text.first_spelling(F.col("item_name")).alias("item_name"))
     )
     return customers.join(buyers, "customer_id").select(
         "customer_id", "customer_name", "segment", "item_name"

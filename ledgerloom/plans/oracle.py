@@ -33,7 +33,9 @@ _BASE = {
         CAST(15 AS DECIMAL(18,3)) AS tax_rate, CAST(p_retailprice AS DECIMAL(18,6)) AS unit_price,
         7 AS last_edited_by FROM part""",
     "lists": """SELECT p_partkey AS item_id,
-        p_brand || ',' || p_type || ',' || replace(p_name, ' ', ',') AS data FROM part""",
+        p_brand || ',' || p_type || ',' || replace(p_name, ' ', ',') AS data FROM part
+        UNION ALL VALUES (-1, 'apple,pear,orange,banana,grape,kiwi'), (-2, 'pineapple,grape,banana,apple'),
+        (-3, 'apricot,pear,strawberry,banana'), (-4, 'cherry,watermelon,orange,melon,grape')""",
 }
 
 
@@ -62,20 +64,20 @@ _CALENDAR = f"""SELECT o.order_id, strftime(order_date, '%d.%m.%Y') AS dd_mm_yea
         AND (unit_price > {{price}} OR quantity > {{quantity}}) AND NOT l.picking_completed IS NULL
     JOIN buyers c ON o.customer_id = c.customer_id"""
 
-_SPARSE = "sparse AS (SELECT * FROM rows_sold WHERE unit_price > 104900)"
 _SPAN = """span AS (SELECT CAST(year(m) AS BIGINT) AS year, CAST(month(m) AS BIGINT) AS month FROM (
-    SELECT unnest(generate_series(date_trunc('month', min(order_date)),
-        date_trunc('month', max(order_date)), INTERVAL 1 MONTH)) AS m FROM deals))"""
-_SPARSE_MONTHS = f"""totals AS (SELECT {_YEAR_MONTH}, sum({_AMOUNT}) AS amount
-    FROM deals JOIN sparse USING (order_id) GROUP BY ALL)"""
+    SELECT unnest(generate_series(DATE '1990-01-01', DATE '2003-12-01', INTERVAL 1 MONTH)) AS m))"""
+_MONTH_TOTALS = f"""totals AS (SELECT {_YEAR_MONTH}, sum({_AMOUNT}) AS amount
+    FROM deals JOIN rows_sold USING (order_id) GROUP BY ALL)"""
+_CAPITALS = "CASE WHEN item_id % 2 = 0 THEN upper(item_name) ELSE item_name END"
+_TAGS = "CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END"
 
 
-def _slow_items(lines: str, below: int) -> str:
+def _slow_items(below: int) -> str:
     return f"""SELECT year, month, item_id, item_name, CAST(amount AS DOUBLE) AS total_amount,
         CAST(total_quantity AS BIGINT) AS total_quantity, CAST(first_sale AS VARCHAR) AS first_sale
         FROM (SELECT {_YEAR_MONTH}, item_id, sum({_AMOUNT}) AS amount, sum(quantity) AS total_quantity,
             min(order_date) AS first_sale
-            FROM deals JOIN {lines} USING (order_id) GROUP BY ALL HAVING sum(quantity) < {below})
+            FROM deals JOIN rows_sold USING (order_id) GROUP BY ALL HAVING sum(quantity) < {below})
         JOIN (SELECT item_id, item_name FROM goods) USING (item_id)"""
 
 
@@ -182,13 +184,18 @@ def _pivot(key: str, values: list[str], source: str) -> str:
         FROM {source} GROUP BY date_trunc('month', order_date)"""
 
 
-_SHOP = """services AS (SELECT p_partkey AS id_service, p_name AS name_service, p_type AS description_service,
-        CAST(CAST(p_retailprice AS DECIMAL(19,2)) - 901 AS DECIMAL(19,2)) AS price_service FROM part WHERE p_size > 1),
+_SHOP = """services AS (SELECT p_partkey AS id_service, p_name AS name_service,
+        CASE WHEN p_size = 50 THEN repeat(p_type, 40) WHEN p_size <> 49 THEN p_type END AS description_service,
+        CAST(CAST(p_retailprice AS DECIMAL(19,2)) - 901 AS DECIMAL(19,2)) AS price_service FROM part),
+    sold AS (SELECT * FROM lineitem UNION ALL SELECT * REPLACE (l_partkey + 1000000000 AS l_partkey) FROM lineitem
+        WHERE l_orderkey % 100 = 0 AND l_linenumber = 1),
     sales AS (SELECT l_orderkey AS id_sales, l_partkey AS id_service, o_custkey AS id_client,
+        CAST(l_quantity AS INTEGER) AS quantity,
         CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS date_created,
         l_shipdate - INTERVAL 30 DAY AS expected_date, l_suppkey AS id_employee
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-    client AS (SELECT c_custkey AS id, c_name AS username,
+        FROM sold JOIN orders ON l_orderkey = o_orderkey),
+    client AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 40 = 0 THEN 'client ' || (c_custkey - 1)
+            ELSE 'Client ' || c_custkey END AS username,
         CASE WHEN c_acctbal < 0 THEN '8-000' ELSE lpad(CAST(c_custkey AS VARCHAR), 11, '7') END AS phone,
         CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name || '@example.org' END AS email FROM customer),
     employee AS (SELECT s_suppkey AS id, s_name AS username,
@@ -216,6 +223,10 @@ def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _names_repeat(table: str, rule: str, key: str) -> str:
+    return _violation(table, rule, f"min({key})", "count(*)", f"{table} GROUP BY lower({key}) HAVING count(*) > 1")
+
+
 _PHONE = "NOT (length(phone) = 11 AND regexp_full_match(phone, '[0-9]*'))"
 
 ORACLE: dict[str, str] = {
@@ -224,9 +235,9 @@ ORACLE: dict[str, str] = {
         "SELECT item_id, item_name FROM goods WHERE item_name ILIKE '%RING%' OR item_name ILIKE 'Small%'",
     ),
     "suppliers_without_orders": """SELECT s_suppkey AS supplier_id, s_name AS supplier_name
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN (
-            SELECT l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-            WHERE CAST(l_shipdate AS DATE) = DATE '1998-07-04') p ON s_suppkey = l_suppkey
+        FROM (SELECT s_suppkey, s_name FROM supplier UNION ALL
+            SELECT s_suppkey + 1000000000, s_name || ' (new)' FROM supplier WHERE s_suppkey % 10 = 0)
+        LEFT JOIN (SELECT DISTINCT l_suppkey FROM lineitem) p ON s_suppkey = l_suppkey
         WHERE l_suppkey IS NULL""",
     "order_calendar": _with("buyers deals rows_sold", _CALENDAR.format(price=90000, quantity=45)),
     "order_calendar_page": _with(
@@ -250,9 +261,9 @@ ORACLE: dict[str, str] = {
     ),
     "buyers_of_item": _with(
         "buyers deals rows_sold goods",
-        """SELECT DISTINCT customer_id, customer_name, segment, item_name
+        f"""SELECT customer_id, customer_name, segment, min({_CAPITALS}) AS item_name
         FROM deals JOIN rows_sold USING (order_id) JOIN goods USING (item_id) JOIN buyers USING (customer_id)
-        WHERE item_name = 'blue bolt'""",
+        WHERE lower(item_name) = 'blue bolt' GROUP BY customer_id, customer_name, segment""",
     ),
     "monthly_sales": _with(
         "deals rows_sold",
@@ -268,18 +279,18 @@ ORACLE: dict[str, str] = {
     ),
     "big_months_zero_filled": _with(
         "deals rows_sold",
-        """SELECT year, month, CAST(amount AS DOUBLE) AS total_amount FROM totals WHERE amount > 5000000
+        """SELECT year, month, CAST(amount AS DOUBLE) AS total_amount FROM totals WHERE amount > 1050000000
         UNION ALL SELECT year, month, CAST(0 AS DOUBLE) FROM span
         WHERE NOT EXISTS (SELECT 1 FROM totals t WHERE t.year = span.year AND t.month = span.month)""",
-        f"{_SPARSE}, {_SPAN}, {_SPARSE_MONTHS}",
+        f"{_SPAN}, {_MONTH_TOTALS}",
     ),
-    "slow_items_by_month": _with("deals rows_sold goods", _slow_items("rows_sold", 5)),
+    "slow_items_by_month": _with("deals rows_sold goods", _slow_items(5)),
     "slow_items_by_month_zero_filled": _with(
         "deals rows_sold goods",
-        f"""{_slow_items("sparse", 20)}
+        f"""{_slow_items(5)}
         UNION ALL SELECT year, month, NULL, NULL, CAST(0 AS DOUBLE), CAST(0 AS BIGINT), NULL FROM span
         WHERE NOT EXISTS (SELECT 1 FROM totals t WHERE t.year = span.year AND t.month = span.month)""",
-        f"{_SPARSE}, {_SPAN}, {_SPARSE_MONTHS}",
+        f"{_SPAN}, {_MONTH_TOTALS}",
     ),
     "idle_salespeople_exists": _with("staff deals rows_sold", _IDLE),
     "idle_salespeople_left_join": _with("staff deals rows_sold", _IDLE),
@@ -304,11 +315,13 @@ ORACLE: dict[str, str] = {
     "running_total_by_month": _with("buyers deals rows_sold", _RUNNING),
     "top2_items_per_month": _with(
         "deals rows_sold goods",
-        """SELECT CAST(CAST(month_end AS DATE) AS VARCHAR) AS month_end, CAST(quantity AS BIGINT) AS quantity, item_name
-        FROM (SELECT *, row_number() OVER (PARTITION BY month_end ORDER BY quantity DESC, item_name) AS r FROM (
-            SELECT last_day(order_date) AS month_end, item_name, sum(quantity) AS quantity
+        f"""SELECT CAST(CAST(month_end AS DATE) AS VARCHAR) AS month_end, CAST(quantity AS BIGINT) AS quantity, item_name
+        FROM (SELECT *, row_number() OVER (PARTITION BY month_end ORDER BY quantity DESC, folded) AS r FROM (
+            SELECT last_day(order_date) AS month_end, lower(item_name) AS folded, min({_CAPITALS}) AS item_name,
+                sum(quantity) AS quantity
             FROM deals JOIN rows_sold USING (order_id) JOIN (SELECT item_id, item_name FROM goods) USING (item_id)
-            WHERE order_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' GROUP BY ALL))
+            WHERE order_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
+            GROUP BY last_day(order_date), lower(item_name)))
         WHERE r <= 2""",
     ),
     "item_window_profile": _with(
@@ -367,8 +380,9 @@ ORACLE: dict[str, str] = {
     ),
     "pivot_column_list": _with(
         "buyers deals",
-        """SELECT string_agg(segment, ', ' ORDER BY segment) AS column_list
-        FROM (SELECT DISTINCT segment FROM buyers JOIN deals USING (customer_id))""",
+        """SELECT string_agg(name, ', ' ORDER BY lower(name)) AS column_list FROM (
+            SELECT min(CASE WHEN customer_id % 2 = 0 THEN lower(segment) ELSE segment END) AS name
+            FROM buyers JOIN deals USING (customer_id) GROUP BY lower(segment))""",
     ),
     "text_in_parentheses": _with(
         "buyers stores",
@@ -443,13 +457,14 @@ ORACLE: dict[str, str] = {
             item_id, item_name, {_stock('fresh', 'inserted_')}, CAST(1 AS BIGINT) FROM fresh""",
         _INCOMING,
     ),
-    "json_fields": """SELECT p_partkey AS item_id, p_name AS item_name, p_type AS country,
-        string_split(p_name, ' ')[1] AS first_tag, string_split(p_name, ' ')[2] AS second_tag,
+    "json_fields": f"""SELECT p_partkey AS item_id, p_name AS item_name, p_type AS country,
+        string_split({_TAGS}, ' ')[1] AS first_tag, string_split({_TAGS}, ' ')[2] AS second_tag,
         CAST(NULL AS VARCHAR) AS tags_value FROM part""",
-    "json_tag_search": """SELECT item_id, item_name, '["' || replace(item_name, ' ', '","') || '"]' AS tags_json,
-        replace(item_name, ' ', ',') AS tags FROM (
-            SELECT p_partkey AS item_id, p_name AS item_name, unnest(string_split(p_name, ' ')) AS tag FROM part)
-        WHERE tag = 'ring'""",
+    "json_tag_search": f"""SELECT item_id, item_name,  '["' || replace(spelt, ' ', '","') || '"]' AS tags_json,
+        replace(spelt, ' ', ',') AS tags FROM (
+            SELECT p_partkey AS item_id, p_name AS item_name, {_TAGS} AS spelt,
+                unnest(string_split({_TAGS}, ' ')) AS tag FROM part)
+        WHERE lower(tag) = 'ring'""",
     "best_customer": _with(
         "deals rows_sold",
         f"""SELECT customer_id FROM deals WHERE order_id = (SELECT order_id FROM rows_sold
@@ -477,9 +492,9 @@ ORACLE: dict[str, str] = {
             _repeats("client", "primary_key", "id"),
             _repeats("employee", "primary_key", "id"),
             _repeats("skill", "primary_key", "id"),
-            _repeats("services", "unique_name_service", "name_service"),
-            _repeats("client", "unique_username", "username"),
-            _repeats("employee", "unique_username", "username"),
+            _names_repeat("services", "unique_name_service", "name_service"),
+            _names_repeat("client", "unique_username", "username"),
+            _names_repeat("employee", "unique_username", "username"),
         ]
     ),
     "dq_foreign_keys": f"WITH {_SHOP} "
@@ -495,6 +510,13 @@ ORACLE: dict[str, str] = {
     + _union(
         [
             _violation("services", "check_price_service", "id_service", "price_service", "services WHERE price_service < 0"),
+            _violation(
+                "services", "not_null_description_service", "id_service", "NULL", "services WHERE description_service IS NULL"
+            ),
+            _violation(
+                "services", "max_length_description_service", "id_service", "length(description_service)",
+                "services WHERE length(description_service) > 100",
+            ),
             _violation("sales", "check_expected_date", "id_sales", "expected_date", "sales WHERE expected_date < date_created"),
             _violation("client", "check_phone", "id", "phone", f"client WHERE {_PHONE}"),
             _violation("client", "not_null_email", "id", "NULL", "client WHERE email IS NULL"),
@@ -502,6 +524,7 @@ ORACLE: dict[str, str] = {
             _violation("skill", "check_id", "id", "id", "skill WHERE id NOT IN (1, 2, 3)"),
         ]
     ),
-    "dq_defaults": f"""WITH {_SHOP} SELECT CAST(coalesce(date_created, TIMESTAMP '2002-01-01 00:00:00') AS VARCHAR)
-        AS date_created, count(*) AS sales FROM sales GROUP BY 1""",
+    "dq_defaults": f"""WITH {_SHOP} SELECT id_sales, id_service, id_client, CAST(quantity AS BIGINT) AS quantity,
+        CAST(date_created AS VARCHAR) AS date_created, CAST(expected_date AS VARCHAR) AS expected_date,
+        id_employee, date_created IS NULL AS defaulted FROM sales""",
 }

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import sort_list
 from ledgerloom.operators.topk import top
 from ledgerloom.plans.sales import line_amount
+from ledgerloom.sources.tables import literal_rows
+from ledgerloom.sources.workspace import materialize
 
 
 def best_customer(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -19,7 +21,8 @@ def best_customer(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def customer_total(orders: DataFrame, lines: DataFrame, customer_id: int) -> DataFrame:
     """What one customer bought in total: one row, NULL if nothing."""
-    own = orders.filter(F.col("customer_id") == customer_id).select("order_id")
+    # written first: the few orders' real size is known then, and the lines need no shuffle to meet them
+    own = materialize(orders.filter(F.col("customer_id") == customer_id).select("order_id"), "own-orders")
     return lines.join(own, "order_id").agg(F.sum(line_amount()).alias("total"))
 
 
@@ -36,9 +39,9 @@ def customer_totals(customers: DataFrame, orders: DataFrame, lines: DataFrame) -
 
 
 def customer_totals_int(customers: DataFrame, orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """The same returned as a whole number: the fraction is cut off."""
+    """The same returned as INT: the fraction is cut off, a total beyond INT is an error."""
     totals = customer_totals(customers, orders, lines)
-    return totals.select("customer_id", F.col("total").cast("bigint").alias("total"))
+    return totals.select("customer_id", F.col("total").cast("int").alias("total"))
 
 
 def register_functions(spark: SparkSession, orders: DataFrame, lines: DataFrame) -> None:
@@ -61,8 +64,8 @@ def register_functions(spark: SparkSession, orders: DataFrame, lines: DataFrame)
     )
     spark.sql(
         f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION customer_total_int(id BIGINT) RETURNS BIGINT
-        RETURN (SELECT CAST({amount} AS BIGINT) FROM {joined} WHERE o.customer_id = id)
+        CREATE OR REPLACE TEMPORARY FUNCTION customer_total_int(id BIGINT) RETURNS INT
+        RETURN (SELECT CAST({amount} AS INT) FROM {joined} WHERE o.customer_id = id)
         """
     )
     spark.sql(
@@ -93,5 +96,20 @@ def item_words(items: DataFrame) -> DataFrame:
     )
 
 
+# The example lists.
+EXAMPLE_LISTS = [
+    (-1, "apple,pear,orange,banana,grape,kiwi"),
+    (-2, "pineapple,grape,banana,apple"),
+    (-3, "apricot,pear,strawberry,banana"),
+    (-4, "cherry,watermelon,orange,melon,grape"),
+]
+
+
+def lists_to_sort(items: DataFrame) -> DataFrame:
+    """The words of every item, and the example lists under negative ids."""
+    examples = literal_rows(items.sparkSession, EXAMPLE_LISTS, "item_id bigint, data string")
+    return item_words(items).unionByName(examples)
+
+
 def sorted_lists(rows: DataFrame, column: str, separator: str = ",") -> DataFrame:
     return rows.withColumn("sorted", sort_list(F.col(column), separator))

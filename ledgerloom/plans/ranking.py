@@ -25,7 +25,8 @@ def _running_total(
     amounts = lines.groupBy("order_id").agg(F.sum(line_amount()).alias("amount"))
     recent = orders.filter(F.col("order_date") >= F.lit(since).cast("date"))
     invoices = amounts.join(recent.select("order_id", "customer_id", "order_date"), "order_id")
-    invoices = invoices.withColumn("month", dates.month_end(F.col("order_date")))
+    # read by the monthly sums and by the report: written once, so that the lines are joined once
+    invoices = materialize(invoices.withColumn("month", dates.month_end(F.col("order_date"))), "invoices")
     months = invoices.groupBy("month").agg(F.sum("amount").alias("month_amount"))
     running = accumulate(months, "month", "month_amount", "running_amount")
     return (
@@ -68,10 +69,10 @@ def top_items_per_month(
         .groupBy("month_end", "item_id")
         .agg(F.sum("quantity").alias("quantity"))
         .join(items.select("item_id", "item_name"), "item_id")
-        .groupBy("month_end", "item_name")
-        .agg(F.sum("quantity").alias("quantity"))
+        .groupBy("month_end", F.lower("item_name").alias("_name"))
+        .agg(F.sum("quantity").alias("quantity"), text.first_spelling(F.col("item_name")).alias("item_name"))
     )
-    best = first_per_group(sold, n, ["month_end"], F.col("quantity").desc(), F.col("item_name"))
+    best = first_per_group(sold, n, ["month_end"], F.col("quantity").desc(), F.col("_name"))
     return best.orderBy("month_end", "_row").select("month_end", "quantity", "item_name")
 
 

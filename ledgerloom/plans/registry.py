@@ -24,6 +24,8 @@ from ledgerloom.sources.catalog import Catalog
 from ledgerloom.sources.workspace import materialize
 
 SINCE = "1998-01-01"
+# longer than the data, so that its first and last months have no sales
+SPAN = ("1990-01-01", "2003-12-31")
 PLACES = ["NATION_2", "NATION_7", "NATION_22", "NATION_12", "NATION_17"]
 
 
@@ -36,9 +38,24 @@ def _item_kinds(c: Catalog) -> DataFrame:
     )
 
 
-def _month_sparse(c: Catalog) -> DataFrame:
-    """Lines of a price so high that some months have none."""
-    return c.lines.filter(F.col("unit_price") > 104_900)
+def _with_new_suppliers(c: Catalog) -> DataFrame:
+    """All suppliers, and some more that nothing has been ordered from yet."""
+    new = c.suppliers.filter(F.col("supplier_id") % 10 == 0).withColumns(
+        {
+            "supplier_id": F.col("supplier_id") + 1_000_000_000,
+            "supplier_name": F.concat("supplier_name", F.lit(" (new)")),
+        }
+    )
+    return c.suppliers.unionByName(new)
+
+
+def _half_in_capitals(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The rows with every other name in capitals."""
+    return df.withColumn(name, F.when(F.col(key) % 2 == 0, F.upper(name)).otherwise(F.col(name)))
+
+
+def _half_in_small_letters(df: DataFrame, name: str, key: str) -> DataFrame:
+    return df.withColumn(name, F.when(F.col(key) % 2 == 0, F.lower(name)).otherwise(F.col(name)))
 
 
 def _merge_customers(c: Catalog):
@@ -58,34 +75,35 @@ def _shop_with_sales_table(c: Catalog) -> constraints.Shop:
 
 
 def _defaults_applied(c: Catalog) -> DataFrame:
-    now = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
-    filled = constraints.sales_with_defaults(constraints.shop_from(c), now)
-    return filled.groupBy("date_created").agg(F.count("*").alias("sales"))
+    """The sales as stored; a date from the clock shows as a flag, so that runs agree."""
+    filled = constraints.sales_with_defaults(constraints.shop_from(c))
+    by_clock = F.col("date_created") >= F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    return filled.withColumn("defaulted", by_clock).withColumn(
+        "date_created", F.when(~by_clock, F.col("date_created"))
+    )
 
 
 QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     # listings
     "item_name_search": lambda c: listings.item_name_search(c.items, "RING", "Small"),
-    "suppliers_without_orders": lambda c: listings.suppliers_without_orders(
-        c.suppliers, c.purchases.filter(F.col("expected_date") == F.lit("1998-07-04").cast("date"))
-    ),
+    "suppliers_without_orders": lambda c: listings.suppliers_without_orders(_with_new_suppliers(c), c.supplied),
     "order_calendar": lambda c: listings.order_calendar(c.orders, c.lines, c.customers, 90_000, 45),
     "order_calendar_page": lambda c: listings.order_calendar_page(c.orders, c.lines, c.customers),
     "purchase_delivery": lambda c: listings.purchase_delivery(
         c.suppliers, c.purchases, c.contacts, c.delivery_methods,
         "1998-01-01", "1998-01-31", ["ASIA", "EUROPE"],
     ),
-    "latest_sales": lambda c: listings.latest_sales(c.sales, c.customers, c.people),
+    "latest_sales": lambda c: listings.latest_sales(c.orders, c.lines, c.customers, c.people),
     "buyers_of_item": lambda c: listings.buyers_of_item(
-        c.orders, c.lines, c.items, c.customers, "Blue BOLT"
+        c.orders, c.lines, _half_in_capitals(c.items, "item_name", "item_id"), c.customers, "Blue BOLT"
     ),
     # monthly sales
     "monthly_sales": lambda c: sales.monthly_sales(c.orders, c.lines),
     "big_months": lambda c: sales.big_months(c.orders, c.lines, 1_050_000_000),
-    "big_months_zero_filled": lambda c: sales.big_months(c.orders, _month_sparse(c), 5_000_000, True),
+    "big_months_zero_filled": lambda c: sales.big_months(c.orders, c.lines, 1_050_000_000, SPAN),
     "slow_items_by_month": lambda c: sales.slow_items_by_month(c.orders, c.lines, c.items, 5),
     "slow_items_by_month_zero_filled": lambda c: sales.slow_items_by_month(
-        c.orders, _month_sparse(c), c.items, 20, True
+        c.orders, c.lines, c.items, 5, SPAN
     ),
     # subqueries
     "idle_salespeople_exists": lambda c: subqueries.idle_salespeople_not_exists(c.people, c.sales, "1998-07-04"),
@@ -108,7 +126,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "running_total_self_join": lambda c: ranking.running_total_self_join(c.orders, c.lines, c.customers, SINCE),
     "running_total_by_month": lambda c: ranking.running_total_by_month(c.orders, c.lines, c.customers, SINCE),
     "top2_items_per_month": lambda c: ranking.top_items_per_month(
-        c.orders, c.lines, c.items, "1998-01-01", "1998-12-31"
+        c.orders, c.lines, _half_in_capitals(c.items, "item_name", "item_id"), "1998-01-01", "1998-12-31"
     ),
     "item_window_profile": lambda c: ranking.item_window_profile(c.items),
     "last_customer_per_salesperson": lambda c: ranking.last_customer_per_salesperson(
@@ -120,8 +138,12 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "pivot_customers_by_month": lambda c: crosstabs.pivot_customers_by_month(
         c.orders, c.stores.filter("region_id = 2"), PLACES
     ),
-    "pivot_dynamic": lambda c: crosstabs.pivot_dynamic(c.orders, c.customers, "segment"),
-    "pivot_column_list": lambda c: crosstabs.pivot_column_list(c.orders, c.customers, "segment"),
+    "pivot_dynamic": lambda c: crosstabs.pivot_dynamic(
+        c.orders, _half_in_small_letters(c.customers, "segment", "customer_id"), "segment"
+    ),
+    "pivot_column_list": lambda c: crosstabs.pivot_column_list(
+        c.orders, _half_in_small_letters(c.customers, "segment", "customer_id"), "segment"
+    ),
     "text_in_parentheses": lambda c: crosstabs.text_in_parentheses(
         c.stores.unionByName(c.customers.select("customer_id", "customer_name"), allowMissingColumns=True)
     ),
@@ -156,10 +178,10 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "customer_total_int": lambda c: parameters.customer_totals_int(c.customers, c.orders, c.lines),
     "customer_totals_left_join": lambda c: parameters.customer_totals(c.customers, c.orders, c.lines),
     "customer_totals_lateral": lambda c: parameters.customer_totals_lateral(c.customers, c.orders, c.lines),
-    "sort_list": lambda c: parameters.sorted_lists(parameters.item_words(c.items), "data"),
-    "sort_list_spaced": lambda c: parameters.sorted_lists(parameters.item_words(c.items), "data", " "),
+    "sort_list": lambda c: parameters.sorted_lists(parameters.lists_to_sort(c.items), "data"),
+    "sort_list_spaced": lambda c: parameters.sorted_lists(parameters.lists_to_sort(c.items), "data", " "),
     # constraints
-    "dq_keys": lambda c: constraints.key_violations(_shop_with_sales_table(c)),
+    "dq_keys": lambda c: constraints.key_violations(constraints.shop_from(c)),
     "dq_foreign_keys": lambda c: constraints.foreign_key_violations(_shop_with_sales_table(c)),
     "dq_checks": lambda c: constraints.check_violations(constraints.shop_from(c)),
     "dq_defaults": _defaults_applied,

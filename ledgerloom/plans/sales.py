@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.calendar import months_between, with_empty_months
+from ledgerloom.operators.calendar import months_from, with_empty_months
+from ledgerloom.sources.workspace import materialize
 
 
 def line_amount() -> Column:
@@ -48,22 +49,26 @@ def _month_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def big_months(orders: DataFrame, lines: DataFrame, above: float, zero_filled: bool = False) -> DataFrame:
-    """Months that sold more than a limit; on request also months without sales, as zeros."""
+def big_months(
+    orders: DataFrame, lines: DataFrame, above: float, span: tuple[str, str] | None = None
+) -> DataFrame:
+    """Months that sold more than a limit; of a ``span`` of days also its months without sales, as zeros."""
     totals = _month_totals(orders, lines)
-    report = totals.filter(F.col("total_amount") > above)
-    if zero_filled:
-        months = months_between(orders, "order_date")
-        report = with_empty_months(report, months, totals, {"total_amount": 0})
+    if span is None:
+        report = totals.filter(F.col("total_amount") > above)
+    else:
+        totals = materialize(totals, "month-totals")
+        months = months_from(orders.sparkSession, *span)
+        report = with_empty_months(totals.filter(F.col("total_amount") > above), months, totals, {"total_amount": 0})
     return report.orderBy("year", "month")
 
 
 def slow_items_by_month(
-    orders: DataFrame, lines: DataFrame, items: DataFrame, below: int = 50, zero_filled: bool = False
+    orders: DataFrame, lines: DataFrame, items: DataFrame, below: int = 50, span: tuple[str, str] | None = None
 ) -> DataFrame:
     """Items of which fewer than a number were sold in a month.
 
-    ``zero_filled`` adds one row of zeros, without an item, per month that sold nothing.
+    A ``span`` of days adds one row of zeros, without an item, per month of it that sold nothing.
     """
     cells = (
         lines.select("order_id", "item_id", "quantity", line_amount().alias("amount"))
@@ -77,13 +82,15 @@ def slow_items_by_month(
             F.min("order_date").alias("first_sale"),
         )
     )
+    if span is not None:
+        cells = materialize(cells, "month-items")
     report = (
         cells.filter(F.col("total_quantity") < below)
         .join(items.select("item_id", "item_name"), "item_id")
         .select("year", "month", "item_id", "item_name", "total_amount", "total_quantity", "first_sale")
     )
-    if zero_filled:
+    if span is not None:
         sold = cells.select("year", "month").distinct()
-        months = months_between(orders, "order_date")
+        months = months_from(orders.sparkSession, *span)
         report = with_empty_months(report, months, sold, {"total_amount": 0, "total_quantity": 0})
     return report.orderBy("year", "month", "item_id")

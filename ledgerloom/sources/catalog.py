@@ -128,6 +128,11 @@ class Catalog:
         )
         return lines.join(orders, "order_id")
 
+    @property
+    def supplied(self) -> DataFrame:
+        """The supplier of each purchased line, without the order behind it."""
+        return self.raw("lineitem").select(F.col("l_suppkey").alias("supplier_id"))
+
     @property
     def contacts(self) -> DataFrame:
         return self.raw("customer").select(
@@ -180,14 +185,15 @@ class Catalog:
 
     @property
     def item_fields(self) -> DataFrame:
-        """Items with a JSON document: the country of manufacture and an array of tags."""
+        """Items with a JSON document: the country of manufacture and an array of tags, some in capitals."""
+        tags = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
         return self.raw("part").select(
             F.col("p_partkey").alias("item_id"),
             F.col("p_name").alias("item_name"),
             F.to_json(
                 F.struct(
                     F.col("p_type").alias("CountryOfManufacture"),
-                    F.split("p_name", " ").alias("Tags"),
+                    F.split(tags, " ").alias("Tags"),
                 )
             ).alias("custom_fields"),
         )

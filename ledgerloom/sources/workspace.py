@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +29,28 @@ def work_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[str]:
+    """Work tables made inside go to a folder of their own, which is deleted at the end.
+
+    Results are lazy: write or collect them before the scope ends.
+    """
+    path = f"{work_root(spark)}/scope-{uuid.uuid4().hex}"
+    _scopes.append(path)
+    try:
+        yield path
+    finally:
+        _scopes.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_work_path(spark: SparkSession, label: str) -> str:
-    return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+    root = _scopes[-1] if _scopes else work_root(spark)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

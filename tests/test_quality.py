@@ -94,3 +94,11 @@ def test_row_rules_do_not_shuffle(spark):
     )
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
     assert df.count() == 5
+
+
+def test_names_that_differ_in_case_repeat(spark):
+    df = spark.createDataFrame([("Bob", 1), ("bob", 2), ("ann", 3), (None, 4)], "name string, id int")
+    assert rows(quality.unique(df, "people", ["name"])) == [("people", "unique_name", "Bob", "2")]
+    assert ordered(quality.primary_key(df, "people", ["name"])) == [
+        ("people", "primary_key", "Bob", "2"), ("people", "primary_key", "NULL", "1"),
+    ]

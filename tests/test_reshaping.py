@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.calendar import months_between, with_empty_months
 from ledgerloom.operators.reshaping import (
-    discovered_values,
     pivot_count,
     pivot_count_discovered,
     unpivot_as_text,
@@ -34,15 +33,23 @@ def test_pivot_discovers_columns_in_order(orders):
     assert ordered(found) == [("m1", 2, 1, 0), ("m2", 0, 0, 1)]
 
 
-def test_too_many_pivot_columns_is_an_error(spark, orders):
+def test_pivot_has_as_many_columns_as_there_are_values(spark, orders):
     spark.conf.set("spark.sql.pivotMaxValues", "2")
     try:
-        with pytest.raises(ValueError, match="more than 2"):
-            discovered_values(orders, "key")
+        assert pivot_count_discovered(orders, "month", "key", "id").columns == ["month", "a", "b", "z"]
     finally:
         spark.conf.unset("spark.sql.pivotMaxValues")
 
 
+def test_keys_that_differ_in_case_are_one_column(spark):
+    df = spark.createDataFrame(
+        [("m1", "BUILDING", 1), ("m1", "Building", 2), ("m2", "b.x", 3), ("m2", None, 4)], "month string, key string, id int"
+    )
+    found = pivot_count_discovered(df, "month", "key", "id")
+    assert found.columns == ["month", "b.x", "BUILDING"]
+    assert ordered(found) == [("m1", 0, 2), ("m2", 1, 0)]
+
+
 def test_unpivot_drops_nulls(spark):
     df = spark.createDataFrame([(1, "x", None), (2, None, None), (3, "p", "q")], "id int, a string, b string")
     found = unpivot_present(df, ["id"], ["a", "b"], "line")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import keep_absent, keep_present
 from ledgerloom.operators.topk import first_per_group, nth_highest, page, reaches, top_with_ties
-from tests.conftest import ordered, rows
+from tests.conftest import ordered, physical_plan, rows
 
 
 def prices(spark, values):
@@ -31,8 +31,13 @@ def test_top_with_ties(spark, values, n, descending, kept):
 
 def test_page(spark):
     df = spark.range(0, 50, 1, 7)
-    assert rows(page(df, 10, 3, F.col("id"))) == [(10,), (11,), (12,)]
-    assert rows(page(df, 49, 3, F.col("id"))) == [(49,)]
+    by_ten = df.withColumn("ten", F.expr("nullif(id div 10, 0)"))
+    for skip, fetch in ((10, 3), (49, 3), (8, 25), (0, 50), (50, 3)):
+        expected = [(i,) for i in range(50)][skip : skip + fetch]
+        found = page(by_ten, skip, fetch, ["ten"], ["id"])
+        assert rows(found.select("id")) == expected and found.columns == by_ten.columns
+    plan = physical_plan(page(by_ten, 40, 3, ["ten"], ["id"]))
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan
 
 
 def test_first_per_group(spark):

@@ -1,6 +1,8 @@
+import os
+
 import pytest
 
-from ledgerloom.sources.workspace import materialize, work_root
+from ledgerloom.sources.workspace import materialize, work_root, work_scope
 from tests.conftest import same
 
 
@@ -40,3 +42,11 @@ def test_work_table_keeps_rows_and_types(spark):
     table = materialize(df, "t")
     assert table.dtypes == df.dtypes and same(table, df)
     assert "Range" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scope_deletes_its_work_tables(spark):
+    with work_scope(spark) as path:
+        table = materialize(spark.range(3), "t")
+        assert table.count() == 3 and os.listdir(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:"))
+    assert os.path.dirname(path) == work_root(spark)
