@@ -118,7 +118,7 @@ def _reject_ambiguous(target: DataFrame, source: DataFrame, on: Sequence[str]) -
     repeated = (
         source.dropna(subset=list(on)).groupBy(*on).agg(F.count("*").alias("_n")).filter("_n > 1")
     )
-    if not repeated.isEmpty() and not keep_present(repeated, target, on).isEmpty():
+    if not keep_present(repeated, target, on).isEmpty():
         names = ", ".join(c.removeprefix(_MATCH) for c in on)
         raise ValueError(f"several source rows match one target row on {names}")
 
@@ -147,20 +147,17 @@ def merge(
     target = _with_match_keys(target, on, ignore_case)
     keys = [_MATCH + c for c in on]
     columns = [c for c in target.columns if c not in keys]
-    _reject_ambiguous(target, source, keys)
-
     renamed = source.select(
         *keys, *(F.col(c).alias(f"_source_{c}") for c in updates), F.lit(True).alias("_matched")
     )
     assignments = {c: F.col(f"_source_{c}") for c in updates}
     updated = _assigned(target.join(renamed, keys, "left"), columns, F.col("_matched"), assignments)
 
-    # Only the target keys that the source names are looked at, so a small source shuffles nothing;
-    # written before they are made distinct, so that a hot key can be split in the join.
-    named = materialize(
-        target.select(*keys).join(source.select(*keys).dropna(), keys, "left_semi"), "named"
-    )
-    fresh = keep_absent(source, named, keys)
+    # The target rows that the source names, written once: the log, the check for a row matched twice and
+    # the search for new rows all read them. A small source shuffles nothing here.
+    matched = materialize(target.join(renamed.dropna(subset=keys), keys), "matched")
+    _reject_ambiguous(matched, source, keys)
+    fresh = keep_absent(source, matched, keys)
     fresh = fresh.select(*(c for c in columns if c in source.columns and c != key or c in on))
     for name, value in (insert_constants or {}).items():
         fresh = fresh.withColumn(name, value)
@@ -175,7 +172,6 @@ def merge(
         )
     )
 
-    matched = target.join(renamed, keys)
     update_log = matched.select(
         *(F.col(c).alias(f"deleted_{c}") for c in columns),
         F.lit("UPDATE").alias("action"),
