@@ -33,7 +33,7 @@ THRESHOLD = 0.8
 HASHES = 128
 RECALL = 0.99
 DEPTH = 4
-SMALL_BUCKET = 256
+SMALL_BUCKET = 2048
 BLOCK_ROWS = 1024
 VERIFY_ROWS = 256
 SEED = 99
@@ -135,7 +135,7 @@ def _roots(runs: int, threshold: float):
         for batch in batches:
             tokens, nodes = _token_rows(batch.column(1)), batch.column(0).to_numpy()
             for run in range(runs):
-                root = np.full(len(nodes), mixed(np.array([run + 1], dtype=np.uint64))[0])
+                root = np.full(len(nodes), mixed(np.array([SEED * 1_000_003 + run + 1], dtype=np.uint64))[0])
                 rows, paths = children(root, tokens, threshold)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), pa.array(paths.view(np.int64))], names=["node", "path"])
 
