@@ -1,6 +1,9 @@
 """Twin formulations agree; the physical plans keep their shape; hot keys are split."""
 
+from decimal import Decimal
+
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import listings, parameters, ranking, sales, subqueries
@@ -189,3 +192,32 @@ def test_large_invoices_without_salesperson_stay(spark, hot):
     assert ordered(found.select("invoice_id")) == ordered(
         lines.groupBy("order_id").agg(F.sum(F.col("unit_price") * F.col("quantity")).alias("a")).filter("a > 1").select("order_id")
     )
+
+
+def test_not_exists_sees_each_salesperson_once(spark, folder, no_broadcast):
+    plan = physical_plan(run("idle_salespeople_exists", spark, folder))
+    assert "LeftAnti" in plan and "HashAggregate(keys=[salesperson_id" in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["running_total_by_month", "running_total_self_join", "big_months_zero_filled", "slow_items_by_month_zero_filled"],
+)
+def test_report_and_totals_read_one_join(spark, folder, name):
+    """The join of the lines was written while the query was built; what is left reads its rows."""
+    assert "lineitem.parquet" not in physical_plan(run(name, spark, folder))
+
+
+def test_lookups_read_no_more_than_they_need(spark, folder):
+    plan = physical_plan(run("customer_total_param", spark, folder))
+    assert "SortMergeJoin" not in plan and "hashpartitioning(order_id" not in plan
+    assert "orders.parquet" not in physical_plan(run("suppliers_without_orders", spark, folder))
+
+
+def test_int_total_overflows(spark):
+    make = spark.createDataFrame
+    customers = make([(1, "a")], "customer_id long, customer_name string")
+    orders = make([(5, 1)], "order_id long, customer_id long")
+    lines = make([(5, Decimal("3000000000.00"), 1)], "order_id long, unit_price decimal(18,2), quantity int")
+    with pytest.raises(ArithmeticException):
+        parameters.customer_totals_int(customers, orders, lines).collect()
