@@ -30,12 +30,12 @@ WORD_BUCKETS, WORD_SIZE = 1 << 12, 4
 ODDS_BUCKETS, EVIDENCE = 1 << 19, 3
 TRAIN_FOLDS = 4
 SUMMARY = 7
-TRAIN_ROWS = 6000
-TRAIN_CHARS = 20_000
+TRAIN_ROWS = 3000
+TRAIN_CHARS = 8_000
 THRESHOLD = 0.3
 _REMEMBERED = 150_000
 _BATCH_WINDOWS = 2048
-EPOCH_ROWS, EPOCHS = 24_000, (4, 30)
+EPOCH_ROWS, EPOCHS = 18_000, (4, 30)
 _WORDS = re.compile(r"\w+")
 
 Params = dict[str, np.ndarray]
@@ -207,9 +207,9 @@ def gradients(params: Params, features, seen: np.ndarray, index: np.ndarray, lab
 def windows(ids: np.ndarray) -> np.ndarray:
     """All overlapping windows of a text's word ids, the last one filled up with -1; none without words."""
     if not len(ids):
-        return np.zeros((0, WINDOW), dtype=np.int64)
+        return np.zeros((0, WINDOW), dtype=np.int32)
     count = max(1, -(-(len(ids) - (WINDOW - STRIDE)) // STRIDE))
-    padded = np.full((count - 1) * STRIDE + WINDOW, -1, dtype=np.int64)
+    padded = np.full((count - 1) * STRIDE + WINDOW, -1, dtype=np.int32)
     padded[: len(ids)] = ids
     return padded[np.arange(count)[:, None] * STRIDE + np.arange(WINDOW)]
 
@@ -278,28 +278,35 @@ def train(rows: Sequence[tuple[str, int]], seed: int = 11, rate: float = 0.005)
         return params
     rng = np.random.default_rng(seed)
     folds = rng.permutation(len(rows)) % TRAIN_FOLDS
-    known = Words()
-    texts = [ids_of(text, known) for text, _ in rows]
-    vocabulary = list(known)
-    grams, own = features = word_features(vocabulary)
+    # a word has a place of its own in each fold that holds it
+    known = [Words() for _ in range(TRAIN_FOLDS)]
+    texts = [ids_of(text, known[fold_]) for (text, _), fold_ in zip(rows, folds)]
+    features = [word_features(list(words)) for words in known]
     holds = np.zeros((TRAIN_FOLDS, 2, ODDS_BUCKETS), dtype=np.float32)
-    buckets = [(_bucket(g, ODDS_BUCKETS), np.append(first, len(g))) for g, first in grams]
-    single = _bucket(own * np.uint64(31) + np.uint64(7), ODDS_BUCKETS)
-    for ids, label, fold_ in zip(texts, labels.astype(int), folds):
-        words = np.unique(ids)
-        held = [single[words]] + [b[_spans(edge[words], edge[words + 1])] for b, edge in buckets]
-        holds[fold_, label, np.unique(np.concatenate(held))] += 1
-    seen = np.stack([evidence(log_odds(holds.sum(axis=0) - holds[f], labels[folds != f]), features) for f in range(TRAIN_FOLDS)])
+    for fold_, (grams, own) in enumerate(features):
+        buckets = [(_bucket(g, ODDS_BUCKETS), np.append(begin, len(g))) for g, begin in grams]
+        single = _bucket(own * np.uint64(31) + np.uint64(7), ODDS_BUCKETS)
+        for doc in np.flatnonzero(folds == fold_):
+            words = np.unique(texts[doc])
+            held = [single[words]] + [b[_spans(edge[words], edge[words + 1])] for b, edge in buckets]
+            holds[fold_, int(labels[doc]), np.unique(np.concatenate(held))] += 1
+    seen = np.concatenate(
+        [evidence(log_odds(holds.sum(axis=0) - holds[f], labels[folds != f]), features[f]) for f in range(TRAIN_FOLDS)]
+    )
     params["odds"] = log_odds(holds.sum(axis=0), labels)
-    # a word stands once for each fold
-    size = len(vocabulary)
-    cut = [windows(ids + fold_ * size) for ids, fold_ in zip(texts, folds)]
+    del holds
+    base = np.concatenate([[0], np.cumsum([len(words) for words in known])])
+    vocabulary = [word for words in known for word in words]
+    cut = [windows(ids + base[fold_]) for ids, fold_ in zip(texts, folds)]
     owner = np.repeat(np.arange(len(rows)), [len(c) for c in cut])
     index, sizes = np.concatenate(cut), np.array([len(c) for c in cut])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    del cut, texts
 
     def all_logits() -> np.ndarray:
-        tables = [inputs(params, features, s) @ params["in"] + params["bias"] for s in seen]
+        tables = [
+            inputs(params, f, seen[base[at] : base[at + 1]]) @ params["in"] + params["bias"] for at, f in enumerate(features)
+        ]
         return _all_logits(params, np.concatenate(tables), index)
 
     first = {k: np.zeros_like(v) for k, v in params.items()}
@@ -317,9 +324,9 @@ def train(rows: Sequence[tuple[str, int]], seed: int = 11, rate: float = 0.005)
             used, local = np.unique(batch[batch >= 0], return_inverse=True)
             small = np.full_like(batch, -1)
             small[batch >= 0] = local
-            some = word_features([vocabulary[w % size] for w in used])
+            some = word_features([vocabulary[w] for w in used])
             step += 1
-            grad = gradients(params, some, seen[used // size, used % size], small, labels[owner[part]])
+            grad = gradients(params, some, seen[used], small, labels[owner[part]])
             _adam(params, grad, first, second, step, rate * (1 - 0.8 * epoch / epochs))
     found = all_logits()
     some = np.flatnonzero(sizes)
