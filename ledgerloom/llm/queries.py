@@ -72,10 +72,13 @@ def op9_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in training order, by their first use; those the mix does not take come last."""
     mixed = mixing.mix(_table(spark, folder, "documents"))
-    return mixed.select(
-        "doc_id", "size", "source_size", "target", "taken",
-        F.round(F.get("placements", F.lit(0))["position"], 9).alias("first_position"),
+    first = F.get("placements", F.lit(0))["position"]
+    order = [first.asc_nulls_last(), F.col("doc_id")]
+    ordered = mixed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.select(
+        "doc_id", "size", "source_size", "target", "taken", F.round(first, 9).alias("first_position"),
     )
 
 
