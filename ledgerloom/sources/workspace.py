@@ -21,7 +21,7 @@ def work_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master.partition("[")[0] != "local":  # local-cluster has executors of its own
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder that every executor can reach"
             )

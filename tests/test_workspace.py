@@ -30,6 +30,8 @@ def test_configured_folder_is_used_everywhere():
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_root(Session("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_root(Session("local-cluster[3,2,1024]"))
 
 
 def test_local_mode_makes_one_folder():
