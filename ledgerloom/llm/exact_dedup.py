@@ -76,6 +76,8 @@ def exact_groups(
         )
         .filter("_size > 1")
     )
+    # written, so that the join shuffles both sides by itself and can split a large group
+    groups = materialize(groups, "dedup-groups")
     joined = hashed.join(
         groups,
         (F.col("length") == F.col("_length")) & (F.col("prefix") == F.col("_prefix")) & (F.col("full") == F.col("_full")),
