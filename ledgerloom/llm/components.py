@@ -24,10 +24,12 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(links)
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # lowest neighbours are written, so that a node with very many links can be split in the join
         lowest = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("_a"), F.least("a", "low").alias("low"))
+        lowest = materialize(lowest, "lowest")
         large = both.join(lowest, F.col("a") == F.col("_a")).filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = materialize(large.distinct(), "large-star")
-        lowest = large.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "_a")
+        lowest = materialize(large.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "_a"), "lowest")
         moved = large.join(lowest, F.col("a") == F.col("_a"))
         small = moved.filter("b > low").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
             moved.select("a", F.col("low").alias("b"))
