@@ -15,12 +15,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the smallest id."""
-    return exact_dedup.drop_exact_copies(docs)
+    return exact_dedup.one_row_of_each(docs)
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar texts, the one with the smallest id."""
-    return jaccard_join.keep_one_of_each(docs)
+    return jaccard_join.one_row_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.workspace import materialize
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 # the empty place after a word: splitting there keeps all white space
@@ -32,6 +34,16 @@ def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     return packed.join(ids, F.col(f"_doc.{id_col}") == F.col("_gone"), "left_anti").select("_doc.*")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Work table (row, doc): a number of its own for each row of ``docs``, whatever its columns hold."""
+    return materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "numbered")
+
+
+def without_rows(table: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a ``numbered`` table that are not in ``gone`` (one column), with the columns they had."""
+    return table.join(gone.toDF("_gone"), F.col("row") == F.col("_gone"), "left_anti").select("doc.*")
+
+
 def digest_of(identity: Column) -> Column:
     """Text by which rows are put into a reproducible random order; NULL ids share one digest."""
     return F.md5(F.coalesce(identity.cast("string"), F.lit("")))

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import one_spaced, without
+from ledgerloom.llm.common import numbered, one_spaced, without, without_rows
 from ledgerloom.sources.workspace import materialize
 
 PREFIX_CHARS = 128
@@ -100,3 +100,15 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     marked = exact_groups(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     return without(docs, id_col, marked.filter(F.col(id_col) != F.col("keep_id")).select(id_col))
+
+
+def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of equal texts, the one ``exact_groups`` marks as kept.
+
+    Rows are told apart by a number of their own, so rows that repeat id and text leave one, and an id
+    may stand for several texts. Rows without an id stay.
+    """
+    table = numbered(docs)
+    rows = table.select(F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), "row")
+    marked = exact_groups(rows.filter("id is not null"), "id", "text", carry={"row": F.col("row")})
+    return without_rows(table, marked.filter(~F.col("kept")).select("row"))

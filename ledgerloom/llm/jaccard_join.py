@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD, without
+from ledgerloom.llm.common import WORD, numbered, without, without_rows
 from ledgerloom.llm.components import components
 from ledgerloom.sources.workspace import materialize
 
@@ -112,8 +112,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size.append(len(found))
             tokens.append(minimum_hashes(found).tobytes() if len(found) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(size, pa.int32()), pa.array(tokens, pa.binary())],
-            names=["id", "place", "high", "low", "size", "tokens"],
+            [batch.column(0), batch.column(1), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(size, pa.int32()), pa.array(tokens, pa.binary()), batch.column(3)],
+            names=["id", "place", "high", "low", "size", "tokens", "row"],
         )
 
 
@@ -342,6 +342,7 @@ def similar_classes(
     recall: float = RECALL,
     depth: int = DEPTH,
     small: int = SMALL_BUCKET,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, class_id, class_size, n_links, kept.
 
@@ -350,13 +351,15 @@ def similar_classes(
     with the same shingles included. ``kept`` marks one row of each class, the one with the smallest
     id. NULL, empty and blank texts have no shingles and are classes of their own; texts under five
     words have one shingle; repeated rows are linked to each other; an empty table gives no rows.
+    ``row_col`` names a column with a number of its own for each row, which is returned as the last one.
     """
     place = F.xxhash64(id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), place.alias("place"), F.col(text_col).alias("text")).mapInArrow(
-        _featured, f"id {kind}, place bigint, high bigint, low bigint, size int, tokens binary"
+    number = F.monotonically_increasing_id() if row_col is None else F.col(row_col).cast("bigint")
+    rows = docs.select(F.col(id_col).alias("id"), place.alias("place"), F.col(text_col).alias("text"), number.alias("row")).mapInArrow(
+        _featured, f"id {kind}, place bigint, high bigint, low bigint, size int, tokens binary, row bigint"
     )
-    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "shingled")
+    rows = materialize(rows, "shingled")
     first = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("row").alias("row"))
     sets = materialize(
         rows.filter("size > 0").groupBy("high", "low").agg(F.min("row").alias("node"), F.count("*").alias("copies"), F.min(first).alias("first")),
@@ -407,6 +410,7 @@ def similar_classes(
         F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         (alone | (F.col("kept_row.row") == F.col("row"))).alias("kept"),
+        *([] if row_col is None else [F.col("row").alias(row_col)]),
     )
 
 
@@ -424,3 +428,15 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     marked = similar_classes(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     return without(docs, id_col, marked.filter(F.col(id_col) != F.col("class_id")).select(id_col))
+
+
+def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class, the one ``similar_classes`` marks as kept.
+
+    Rows are told apart by a number of their own, so rows that repeat id and text leave one, and an id
+    may stand for several texts. Rows without an id stay.
+    """
+    table = numbered(docs)
+    rows = table.select(F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), "row")
+    marked = similar_classes(rows.filter("id is not null"), "id", "text", row_col="row")
+    return without_rows(table, marked.filter(~F.col("kept")).select("row"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD_END, digest_of, shard_of, shards_for, with_offsets, word_count
+from ledgerloom.llm.common import WORD_END, digest_of, numbered, shard_of, shards_for, with_offsets, word_count
 from ledgerloom.operators.positions import with_position
 from ledgerloom.sources.workspace import materialize
 
@@ -89,6 +89,7 @@ def mix(
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES,
     max_repeats: int = MAX_REPEATS,
     rows_per_shard: int = ROWS_PER_SHARD,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, source, size, source_size, weight, target, taken, placements.
 
@@ -96,8 +97,10 @@ def mix(
     time; ``taken`` is the sum of its words. All placements have the whole size but the one that
     the end of the target cuts. Documents without words have no placement. A NULL text has size 0,
     a NULL source is a source of its own (the last), an empty table gives no rows, and repeated
-    rows are documents of their own.
+    rows are documents of their own. ``row_col`` names a column with a number of its own for each row,
+    which tells repeated rows apart and is returned too.
     """
+    row = [] if row_col is None else [F.col(row_col).alias("_row")]
     source = F.col(source_col).cast("string")
     sized = docs.select(
         F.col(id_col).alias("_id"),
@@ -105,6 +108,7 @@ def mix(
         source.isNull().alias("no_source"),
         word_count(F.col(text_col)).alias("size"),
         digest_of(F.col(id_col)).alias("digest"),
+        *row,
     )
     sized = materialize(sized, "mix-sizes")
     key = ["source", "no_source"]
@@ -114,7 +118,7 @@ def mix(
     rows = totals.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     targets = source_targets(totals.select(*key, "source_size"), weights, max_repeats)
     shards = shards_for(rows, rows_per_shard)
-    sharded = sized.withColumn("shard", shard_of(F.col("digest"), shards)).withColumn("tie", F.struct("_id", "size"))
+    sharded = sized.withColumn("shard", shard_of(F.col("digest"), shards)).withColumn("tie", F.struct("_id", "size", *(["_row"] if row else [])))
     laid = with_offsets(sharded, key, "size", shards, facts=targets)
     whole = F.floor("target").cast("bigint")
 
@@ -129,7 +133,7 @@ def mix(
 
     all_uses = F.array(*[placed(F.lit(r).cast("bigint")) for r in range(max_repeats)])
     uses = F.filter(all_uses, lambda use: use["words"] > 0)
-    return laid.select(
+    found = laid.select(
         F.col("_id").alias(id_col),
         F.when(~F.col("no_source"), F.col("source")).alias(source_col),
         "size",
@@ -137,9 +141,10 @@ def mix(
         "weight",
         "target",
         uses.alias("placements"),
-    ).withColumn(
-        "taken", F.aggregate("placements", F.lit(0).cast("bigint"), lambda total, use: total + use["words"])
+        *([F.col("_row").alias(row_col)] if row else []),
     )
+    taken = F.aggregate("placements", F.lit(0).cast("bigint"), lambda total, use: total + use["words"])
+    return found.withColumn("taken", taken)
 
 
 def training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -148,27 +153,32 @@ def training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return uses.repartitionByRange("position", id_col, "repeat").sortWithinPartitions("position", id_col, "repeat")
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
     """The documents of the mix in training order, one row per use, with the columns of ``docs``.
 
     A document used twice is there twice. The one use per source that the target cuts keeps the
     words the mix takes. ``n_chars``, if there is such a column, is kept true to the text.
-    Ids must be unique; rows without an id take no part.
+    Repeated rows are documents of their own, joined to their uses by a row number; rows without an id
+    take no part.
     """
-    docs = docs.filter(F.col(id_col).isNotNull())
-    uses = mix(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), "size", F.inline("placements"))
-    packed = docs.select(F.struct("*").alias("_doc"))
-    joined = packed.join(uses, F.col(f"_doc.{id_col}") == F.col("_id"))
+    table = numbered(docs.filter(F.col(id_col).isNotNull()))
+    rows = table.select(*[F.col(f"doc.{c}").alias(n) for n, c in (("id", id_col), ("text", text_col), ("source", source_col))], "row")
+    found = mix(rows, "id", "text", "source", row_col="row", **options)
+    uses = found.select(F.col("row").alias("_row"), F.col("id").alias("_id"), "size", F.inline("placements"))
+    joined = table.join(uses, F.col("row") == F.col("_row"))
     cut = F.col("words") < F.col("size")
-    text = F.col(f"_doc.{text_col}")
+    text = F.col(f"doc.{text_col}")
     head = F.array_join(F.slice(F.split(text, WORD_END), F.lit(1), F.col("words").cast("int")), "")
     changed = {text_col: head}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length(head).cast(docs.schema["n_chars"].dataType)
-    ordered = joined.repartitionByRange("position", "_id", "repeat").sortWithinPartitions("position", "_id", "repeat")
+    order = ["position", "_id", "repeat", "row"]
+    ordered = joined.repartitionByRange(*order).sortWithinPartitions(*order)
     return ordered.select(
         *[
-            F.when(cut, changed[c]).otherwise(F.col(f"_doc.{c}")).alias(c) if c in changed else F.col(f"_doc.{c}")
+            F.when(cut, changed[c]).otherwise(F.col(f"doc.{c}")).alias(c) if c in changed else F.col(f"doc.{c}")
             for c in docs.columns
         ]
     )

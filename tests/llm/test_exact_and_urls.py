@@ -43,6 +43,16 @@ def test_drop_keeps_columns_and_rows_without_id(spark):
     assert left.filter("doc_id is null").count() == 1
 
 
+def test_one_row_of_each_text(spark):
+    rows = [*ROWS, (9, "its own text")]
+    left = exact_dedup.one_row_of_each(_docs(spark, rows))
+    assert left.columns == _docs(spark, []).columns
+    # the repeated row leaves one; 9 loses the copy, not its other text
+    found = sorted((r.doc_id, r.text) for r in left.collect() if r.doc_id)
+    assert [i for i, _ in found] == [1, 2, 4, 6, 7, 9, 10, 11] and (9, "its own text") in found
+    assert exact_dedup.one_row_of_each(_docs(spark, [])).count() == 0
+
+
 def test_empty_table(spark):
     assert exact_dedup.exact_groups(_docs(spark, [])).count() == 0
 

@@ -70,6 +70,19 @@ def test_training_order_and_mixed_documents(spark):
     assert mixed.filter("n_chars <> length(text)").isEmpty()
 
 
+def test_repeated_rows_are_mixed_each(spark):
+    docs = _docs(spark, [(i // 4, "w " * (1 + i // 4 % 7), "ab"[i % 8 // 4]) for i in range(120)] + [(3, "v v", "a")])
+    text = F.col("text")
+    uses = mixing.mixed_documents(docs).groupBy("doc_id", text.startswith("w").alias("first")).agg(F.count("*"), F.sum(common.word_count(text)))
+    found = {tuple(r)[:2]: tuple(r)[2:] for r in uses.collect()}
+    expected = {}
+    for r in mixing.mix(docs).collect():
+        key = (r.doc_id, not (r.doc_id == 3 and r.size == 2))
+        uses, words = expected.get(key, (0, 0))
+        expected[key] = (uses + len(r.placements), words + r.taken)
+    assert found == {k: v for k, v in expected.items() if v[0]}
+
+
 def test_schedule_is_inverted(spark):
     corners = ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5))
     shares = [i / 20 for i in range(21)]

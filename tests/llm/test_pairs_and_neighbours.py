@@ -80,6 +80,17 @@ def test_one_of_each_stays(spark):
     assert set(ids) - {None} == expected and ids.count(None) == 1
 
 
+def test_one_row_of_each_class(spark):
+    rows = [r for r in _rows() if r[0] is not None] + [(304, "its own text"), (301, "")]
+    left = jaccard_join.one_row_of_each(_docs(spark, rows))
+    assert left.columns == _docs(spark, []).columns
+    kept = sorted(i for i, c, _, _ in _expected(rows) if i == c)
+    repeated = [306]  # twice in the rows, in one class
+    for i in repeated:
+        kept.remove(i)
+    assert sorted(r.doc_id for r in left.collect()) == kept
+
+
 def test_join_of_nothing(spark):
     assert jaccard_join.similar_classes(_docs(spark, [])).count() == 0
     assert jaccard_join.similar_classes(_docs(spark, [(1, None)])).first().class_id == 1
