@@ -93,15 +93,18 @@ def _reranked(k: int):
             queries = np.frombuffer(b"".join(asks["vector"])).reshape(-1, dim)
             ids, names = members["vec_id"].to_numpy(), asks["query_id"].to_numpy()
             norms = np.sqrt((vectors * vectors).sum(axis=1))
+            one_id, place = np.unique(ids, return_inverse=True)
             for query, name in zip(queries, names):
                 norm = np.sqrt((query * query).sum())
                 rough = (vectors @ query) / (norms * norm)
                 rough[ids == name] = -np.inf
                 chosen = np.flatnonzero(rough > -np.inf)
-                if len(chosen) > k:
-                    # all that may tie with the k-th within rounding
-                    least = np.partition(rough, len(rough) - k)[len(rough) - k]
-                    chosen = np.flatnonzero(rough >= least - 1e-9)
+                best = np.full(len(one_id), -np.inf)
+                np.maximum.at(best, place, rough)
+                if len(best) > k:
+                    # all that may tie with the k-th different id within rounding
+                    least = np.partition(best, len(best) - k)[len(best) - k]
+                    chosen = np.flatnonzero((rough >= least - 1e-9) & (rough > -np.inf))
                 exact = (vectors[chosen] * query).sum(axis=1) / (norms[chosen] * norm)
                 order = np.lexsort((ids[chosen], -exact))
                 kept: dict[int, float] = {}

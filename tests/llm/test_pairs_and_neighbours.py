@@ -161,6 +161,13 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_a_repeated_neighbour_takes_one_place(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [1.0, 0.01])] * 6 + [(i, [1.0, i / 100]) for i in range(2, 11)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((r.rank, r.vec_id) for r in neighbours.nearest(table, F.col("vec_id") == 0).collect())
+    assert found == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+
+
 def test_hadamard():
     rows = np.eye(8)
     turned = neighbours.hadamard(rows)
