@@ -106,9 +106,9 @@ def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with one row of each group of equal texts, the one ``exact_groups`` marks as kept.
 
     Rows are told apart by a number of their own, so rows that repeat id and text leave one, and an id
-    may stand for several texts. Rows without an id stay.
+    may stand for several texts. A row without an id is the one that stays only if no other has one.
     """
     table = numbered(docs)
     rows = table.select(F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), "row")
-    marked = exact_groups(rows.filter("id is not null"), "id", "text", carry={"row": F.col("row")})
+    marked = exact_groups(rows, "id", "text", carry={"row": F.col("row")})
     return without_rows(table, marked.filter(~F.col("kept")).select("row"))

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import common, mixing, packing
+from ledgerloom.llm import common, exact_dedup, jaccard_join, mixing, packing
 
 SCHEMA = "doc_id long, text string, source string, digest string, shard string, position string, _id string, n_chars long"
 
@@ -83,6 +83,15 @@ def test_repeated_rows_are_mixed_each(spark):
     assert found == {k: v for k, v in expected.items() if v[0]}
 
 
+def test_rows_without_an_id_stay_to_the_end(spark):
+    """Through dedup, similar texts and mixing: one of three copies, and a text of its own."""
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = _docs(spark, [(None, words, "a")] * 2 + [(None, words + "  ", "a"), (None, "one of its own", "a"), (1, "with an id", "a"), (None, "with  an id", "a")])
+    left = jaccard_join.one_row_of_each(exact_dedup.one_row_of_each(docs))
+    assert sorted((r.doc_id or 0, r.text.split()[0]) for r in left.collect()) == [(0, "one"), (0, "w0"), (1, "with")]
+    assert mixing.mixed_documents(left).count() == mixing.training_order(mixing.mix(left)).count() == 3
+
+
 def test_schedule_is_inverted(spark):
     corners = ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5))
     shares = [i / 20 for i in range(21)]
