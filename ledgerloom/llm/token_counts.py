@@ -10,16 +10,18 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import astuple, dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import PreTokenizer
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
-# Code points with the Unicode property White_Space
-WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+# code points put to the library at once
+PROBED = 128
 # pre-tokens above this length are compared as text, below by a 64-bit polynomial hash
 LONG = 64
 CHUNK_CHARS = 1_000_000
@@ -28,14 +30,40 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 18
 
 
-def character_classes() -> np.ndarray:
-    """Class of every code point: white space, letter, number, other."""
-    table = np.full(0x110000, OTHER, dtype=np.uint8)
+def _joined(split: PreTokenizer, lead: str, text: str) -> int:
+    """How many characters at the head of ``text`` the library leaves in one pre-token with ``lead``."""
+    return split.pre_tokenize_str(lead + text)[0][1][1] - 1
+
+
+@cache
+def _probed(serialized: str) -> bytes:
+    split = Tokenizer.from_str(serialized).pre_tokenizer
+    leads = {LETTER: "A", NUMBER: "1", OTHER: "!"}
+    table, guessed = np.full(0x110000, OTHER, dtype=np.uint8), {kind: [] for kind in leads}
     kinds = {"L": LETTER, "N": NUMBER}
     for code in range(0x110000):
-        table[code] = kinds.get(unicodedata.category(chr(code))[0], OTHER)
-    table[list(WHITE_SPACE)] = SPACE
-    return table
+        if not 0xD800 <= code < 0xE000:  # surrogates are no characters
+            guessed[kinds.get(unicodedata.category(chr(code))[0], OTHER)].append(chr(code))
+    for guess, lead in leads.items():
+        for begin in range(0, len(guessed[guess]), PROBED):
+            rest = "".join(guessed[guess][begin : begin + PROBED])
+            while rest:
+                right = _joined(split, lead, rest)
+                table[[ord(c) for c in rest[:right]]] = guess
+                if right < len(rest):
+                    wrong = rest[right]
+                    table[ord(wrong)] = next((k for k, l in leads.items() if _joined(split, l, wrong)), SPACE)
+                rest = rest[right + 1 :]
+    return table.tobytes()
+
+
+def character_classes(tokenizer: Tokenizer) -> np.ndarray:
+    """Class of every code point as the library's own pre-tokenizer has it: white space, letter, number, other.
+
+    Python's character tables are another Unicode version than the library's, so they are only a first guess: every
+    code point is put to the library, many of one guess at once after a character known to be of that class.
+    """
+    return np.frombuffer(_probed(tokenizer.to_str()), dtype=np.uint8)
 
 
 def byte_letters() -> list[str]:
@@ -148,7 +176,7 @@ def load_vocabulary(path: str) -> Vocabulary:
         slots[at[free]] = hashes[index[free]]
         hashes = hashes[slots[_slot(hashes, turn)] != hashes]
         turn += 1
-    return Vocabulary(tokenizer.to_str(), tuple(special), character_classes(), slots, turn)
+    return Vocabulary(tokenizer.to_str(), tuple(special), character_classes(tokenizer), slots, turn)
 
 
 class Counter:
