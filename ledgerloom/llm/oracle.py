@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm import orchard, positional_index
 from ledgerloom.llm.mixing import MAX_REPEATS, SCHEDULES, WEIGHTS
 from ledgerloom.llm.url_filter import LOWER, RULES, VOCABULARY
 
@@ -124,8 +125,94 @@ def _mix_sql() -> str:
     """
 
 
+def _positional_index_sql() -> str:
+    upper, lower = "".join(map(chr, LOWER)), "".join(map(chr, LOWER.values()))
+    window = positional_index.WINDOW
+
+    def words(text: str) -> str:
+        return f"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{lower}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+    def windows(width: str) -> str:
+        return f"list_transform(range(1, len(words) - {width} + 2), lambda i: {{'spot': i, 'words': array_to_string(words[i : i + {width} - 1], ' ')}})"
+
+    return f"""
+    WITH docs AS (
+      SELECT doc_id, {words("text")} AS words FROM documents
+    ), items AS (
+      SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words("text")} AS words FROM benchmark
+    ), wanted AS (
+      SELECT DISTINCT item, width, w.words AS words
+      FROM (SELECT item, width, unnest({windows("width")}) AS w
+            FROM (SELECT *, least({window}, len(words)) AS width FROM items) WHERE width > 0)
+    ), placed AS (
+      SELECT doc_id, width, w.spot AS spot, w.words AS words
+      FROM (SELECT doc_id, width, unnest({windows("width")}) AS w
+            FROM docs, (SELECT DISTINCT width FROM wanted) WHERE len(docs.words) >= width)
+    ), found AS (
+      SELECT doc_id, item, spot, width FROM placed JOIN wanted USING (width, words)
+    ), hit AS (
+      SELECT doc_id, count(DISTINCT place) AS n_hit
+      FROM (SELECT doc_id, unnest(range(spot, spot + width)) AS place FROM (SELECT DISTINCT doc_id, spot, width FROM found)) GROUP BY doc_id
+    ), named AS (
+      SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM found GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(docs.words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+           sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """
+
+
+def _orchard_sql() -> str:
+    parts = orchard.PARTS
+
+    def assigned(turn: int) -> str:
+        # the nearest entry of every part, the lowest of equals
+        return f"""near{turn} AS MATERIALIZED (
+      SELECT vec_id, p, arg_min({{'entry': entry, 'gap': gap, 'v': v}}, {{'gap': gap, 'entry': entry}}) AS best
+      FROM (SELECT vec_id, part.p AS p, part.v AS v, entry,
+                   list_sum(list_transform(list_zip(part.v, book.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT AS gap
+            FROM part JOIN book{turn} AS book ON part.p = book.p)
+      GROUP BY vec_id, p
+    )"""
+
+    def moved(turn: int) -> str:
+        floor = "(total - ((total % rows) + rows) % rows) // rows"
+        return f"""sum{turn} AS (
+      SELECT p, entry, place, CAST({floor} AS BIGINT) AS mean
+      FROM (SELECT p, best.entry AS entry, place, CAST(sum(x) AS BIGINT) AS total, count(*) AS rows
+            FROM (SELECT p, best, unnest(best.v) AS x, unnest(range(len(best.v))) AS place FROM near{turn}) GROUP BY ALL)
+    ), book{turn + 1} AS MATERIALIZED (
+      SELECT book{turn}.p AS p, book{turn}.entry AS entry, coalesce(m.v, book{turn}.v) AS v
+      FROM book{turn} LEFT JOIN (SELECT p, entry, list(mean ORDER BY place) AS v FROM sum{turn} GROUP BY p, entry) m USING (p, entry)
+    )"""
+
+    rounds = ", ".join(f"{assigned(r)}, {moved(r)}" for r in range(orchard.ROUNDS))
+    return f"""
+    WITH kept AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({orchard.SCALE} * x::DOUBLE) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE len(embedding) > 0 AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))
+    ), part AS MATERIALIZED (
+      SELECT vec_id, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS v FROM kept, range({parts}) AS r(p)
+    ), book0 AS MATERIALIZED (
+      SELECT p, entry, v FROM (SELECT p, v, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS entry FROM part)
+      WHERE entry < {orchard.ENTRIES}
+    ), {rounds}, {assigned(orchard.ROUNDS)}, coded AS (
+      SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY p) AS code, CAST(sum(best.gap) AS BIGINT) AS error
+      FROM near{orchard.ROUNDS} GROUP BY vec_id
+    ), digest AS (
+      SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM book{orchard.ROUNDS}
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM coded JOIN kept USING (vec_id), digest
+    """
+
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": _url_filter_sql(),
     "op7_exact_dedup": _EXACT_DEDUP,
     "op10_curriculum_mix": _mix_sql(),
+    "op12_positional_index": _positional_index_sql(),
+    "op13_orchard_codes": _orchard_sql(),
 }

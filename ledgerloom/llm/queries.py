@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, jaccard_join, licenses, mixing, neighbours, packing, quality, token_counts, toxicity, url_filter
+from ledgerloom.llm import (
+    exact_dedup, jaccard_join, licenses, mixing, neighbours, orchard, packing, positional_index, quality, token_counts, token_links, toxicity, url_filter,
+)
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -82,9 +85,30 @@ def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_links(spark: SparkSession, folder: str) -> DataFrame:
+    return token_links.aligned_tokens(_table(spark, folder, "documents"), vocabulary_path(), vocabulary_path(PIECES))
+
+
+def op12_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = positional_index.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_orchard_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return orchard.compress(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_length_buckets, op2_recurrent_toxicity, op3_url_filter, op4_token_counts, op5_license_scan, op6_chosen_path, op7_exact_dedup, op8_quality_machine, op9_cross_polytope, op10_curriculum_mix,
+        op11_token_links, op12_positional_index, op13_orchard_codes,
     )
 }

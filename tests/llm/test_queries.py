@@ -16,7 +16,7 @@ from ledgerloom.sources.workspace import materialize
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_file.queries())
     assert set(ORACLE) <= set(entry_file.oracle_sql())
 
