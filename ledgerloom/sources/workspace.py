@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +53,16 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
+def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, as a work table; those made on the way to it are deleted at once."""
+    path = new_work_path(spark, label)
+    with work_scope(spark):
+        df = build()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a work table and return the table."""
     spark = df.sparkSession
