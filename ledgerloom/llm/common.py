@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,16 +29,43 @@ def one_spaced(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids of ``gone`` (one column), whatever other columns ``docs`` has."""
-    packed = docs.select(F.struct("*").alias("_doc"))
-    ids = gone.toDF("_gone")
-    return packed.join(ids, F.col(f"_doc.{id_col}") == F.col("_gone"), "left_anti").select("_doc.*")
+def _placed(docs: DataFrame) -> tuple[DataFrame, list]:
+    """(file, place, doc) by the place of each row in its file, and the files' row counts."""
+    rows = docs.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"), F.struct("*").alias("doc"))
+    files = rows.groupBy("_file").agg(F.count("*").alias("rows"), F.max("_place").alias("last"), F.sum("_place").alias("total")).collect()
+    return rows, files
+
+
+def _file_order(path: str) -> tuple:
+    folder, _, name = path.rpartition("/")
+    part = re.match(r"part-(\d+)", name)
+    return folder, int(part[1]) if part else -1, name
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Work table (row, doc): a number of its own for each row of ``docs``, whatever its columns hold."""
-    return materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "numbered")
+    """Table (row, doc) with a number of its own for each row, whatever its columns hold.
+
+    Numbers run from 0 in the order of the files and of the rows in them, so a table that was written in some order
+    has them in that order. Rows of a Parquet table are numbered where they lie and nothing is written; any other
+    rows are written first. The driver gets one row for each file, as it does to list the table.
+    """
+    spark = docs.sparkSession
+    rows, files = None, []
+    if "_metadata" not in docs.columns:
+        try:
+            rows, files = _placed(docs)
+        except AnalysisException:  # not the rows of a file
+            rows = None
+    # every place of every file exactly once: else rows were left out or repeated since they were read
+    if rows is None or any(f["last"] != f["rows"] - 1 or f["total"] != f["rows"] * f["last"] // 2 for f in files):
+        rows, files = _placed(materialize(docs.select(F.struct("*").alias("_doc")), "numbered"))
+        rows = rows.select("_file", "_place", F.col("doc._doc").alias("doc"))
+    starts, at = [], 0
+    for file in sorted(files, key=lambda f: _file_order(f["_file"])):
+        starts.append((file["_file"], at))
+        at += file["rows"]
+    begins = spark.createDataFrame(starts, "_path string, _begin bigint")
+    return rows.join(F.broadcast(begins), F.col("_file") == F.col("_path")).select((F.col("_begin") + F.col("_place")).alias("row"), "doc")
 
 
 def without_rows(table: DataFrame, gone: DataFrame) -> DataFrame:
@@ -44,9 +73,10 @@ def without_rows(table: DataFrame, gone: DataFrame) -> DataFrame:
     return table.join(gone.toDF("_gone"), F.col("row") == F.col("_gone"), "left_anti").select("doc.*")
 
 
-def digest_of(identity: Column) -> Column:
-    """Text by which rows are put into a reproducible random order; NULL ids share one digest."""
-    return F.md5(F.coalesce(identity.cast("string"), F.lit("")))
+def digest_of(identity: Column, text: Column | None = None) -> Column:
+    """Text by which rows are put into a reproducible random order; rows without an id go by their ``text``."""
+    other = F.lit("") if text is None else F.md5(F.coalesce(text.cast("string"), F.lit("")))
+    return F.md5(F.coalesce(identity.cast("string"), other))
 
 
 def shard_of(digest: Column, shards: int) -> Column:

@@ -13,8 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import numbered, one_spaced, without, without_rows
-from ledgerloom.sources.workspace import materialize
+from ledgerloom.llm.common import numbered, one_spaced, without_rows
+from ledgerloom.sources.workspace import materialize, settled
 
 PREFIX_CHARS = 128
 # 2**22 bits in 65,536 words: the broadcast has at most that many rows, whatever the input
@@ -92,23 +92,18 @@ def exact_groups(
     )
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` drops, all columns as they were.
-
-    Rows are matched by id, so an id must not stand for two different texts; rows that repeat an id
-    and its text stay together. Rows without an id stay.
-    """
-    marked = exact_groups(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    return without(docs, id_col, marked.filter(F.col(id_col) != F.col("keep_id")).select(id_col))
-
-
 def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, the one ``exact_groups`` marks as kept.
 
     Rows are told apart by a number of their own, so rows that repeat id and text leave one, and an id
-    may stand for several texts. A row without an id is the one that stays only if no other has one.
+    may stand for several texts. A row without an id is the one that stays only if no other has one. NULL and
+    empty texts are one group; an empty table gives no rows. Only the numbers of the rows that go are kept as a work
+    table, and only they and the texts' row numbers meet.
     """
     table = numbered(docs)
     rows = table.select(F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), "row")
-    marked = exact_groups(rows, "id", "text", carry={"row": F.col("row")})
-    return without_rows(table, marked.filter(~F.col("kept")).select("row"))
+
+    def gone() -> DataFrame:
+        return exact_groups(rows, "id", "text", carry={"row": F.col("row")}).filter(~F.col("kept")).select("row")
+
+    return without_rows(table, settled(docs.sparkSession, "copies", gone))

@@ -24,9 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD, numbered, without, without_rows
+from ledgerloom.llm.common import WORD, numbered, without_rows
 from ledgerloom.llm.components import components
-from ledgerloom.sources.workspace import materialize
+from ledgerloom.sources.workspace import materialize, settled
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -421,22 +421,18 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(cut, pa.binary())], names=[*names, "sketch"])
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, all columns as they were.
-
-    Rows are matched by id; rows that repeat an id and its text stay together, rows without an id stay.
-    """
-    marked = similar_classes(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    return without(docs, id_col, marked.filter(F.col(id_col) != F.col("class_id")).select(id_col))
-
-
 def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class, the one ``similar_classes`` marks as kept.
 
     Rows are told apart by a number of their own, so rows that repeat id and text leave one, and an id
-    may stand for several texts. A row without an id is the one that stays only if no other has one.
+    may stand for several texts. A row without an id is the one that stays only if no other has one. Texts
+    without words are similar to nothing and stay; an empty table gives no rows. The join's work tables are deleted
+    as soon as the numbers of the rows that go are known.
     """
     table = numbered(docs)
     rows = table.select(F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), "row")
-    marked = similar_classes(rows, "id", "text", row_col="row")
-    return without_rows(table, marked.filter(~F.col("kept")).select("row"))
+
+    def gone() -> DataFrame:
+        return similar_classes(rows, "id", "text", row_col="row").filter(~F.col("kept")).select("row")
+
+    return without_rows(table, settled(docs.sparkSession, "similar", gone))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import WORD_END, digest_of, numbered, shard_of, shards_for, with_offsets, word_count
 from ledgerloom.operators.positions import with_position
-from ledgerloom.sources.workspace import materialize
+from ledgerloom.sources.workspace import materialize, settled
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -98,19 +98,16 @@ def mix(
     the end of the target cuts. Documents without words have no placement. A NULL text has size 0,
     a NULL source is a source of its own (the last), an empty table gives no rows, and repeated
     rows are documents of their own. ``row_col`` names a column with a number of its own for each row,
-    which tells repeated rows apart and is returned too; rows without an id are then ordered by their text.
+    which tells repeated rows apart and is returned too. Rows without an id are ordered by their text.
     """
     row = [] if row_col is None else [F.col(row_col).alias("_row")]
-    identity = F.col(id_col).cast("string")
-    if row:  # else all rows without an id would share one shard
-        identity = F.coalesce(identity, F.xxhash64(text_col).cast("string"))
     source = F.col(source_col).cast("string")
     sized = docs.select(
         F.col(id_col).alias("_id"),
         F.coalesce(source, F.lit("")).alias("source"),
         source.isNull().alias("no_source"),
         word_count(F.col(text_col)).alias("size"),
-        digest_of(identity).alias("digest"),
+        digest_of(F.col(id_col), F.col(text_col)).alias("digest"),
         *row,
     )
     sized = materialize(sized, "mix-sizes")
@@ -164,11 +161,16 @@ def mixed_documents(
     A document used twice is there twice. The one use per source that the target cuts keeps the
     words the mix takes. ``n_chars``, if there is such a column, is kept true to the text.
     Repeated rows and rows without an id are documents of their own, joined to their uses by a row number.
+    Documents without words (NULL, empty and blank texts) are in no mix; an empty table gives no rows.
     """
     table = numbered(docs)
     rows = table.select(*[F.col(f"doc.{c}").alias(n) for n, c in (("id", id_col), ("text", text_col), ("source", source_col))], "row")
-    found = mix(rows, "id", "text", "source", row_col="row", **options)
-    uses = found.select(F.col("row").alias("_row"), F.col("id").alias("_id"), "size", F.inline("placements"))
+
+    def placed() -> DataFrame:
+        found = mix(rows, "id", "text", "source", row_col="row", **options)
+        return found.select(F.col("row").alias("_row"), F.col("id").alias("_id"), "size", F.inline("placements"))
+
+    uses = settled(docs.sparkSession, "uses", placed)
     joined = table.join(uses, F.col("row") == F.col("_row"))
     cut = F.col("words") < F.col("size")
     text = F.col(f"doc.{text_col}")

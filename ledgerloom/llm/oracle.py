@@ -89,7 +89,9 @@ def _mix_sql() -> str:
     time = " ".join(f"WHEN {i} THEN {_time_sql('share', c)}" for i, c in enumerate(SCHEDULES))
     return f"""
     WITH sized AS (
-      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORDS}')) AS size FROM documents
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORDS}')) AS size,
+             md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS digest
+      FROM documents
     ), sources AS (
       SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
              row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place
@@ -112,7 +114,7 @@ def _mix_sql() -> str:
       FROM weighed
     ), laid AS (
       SELECT doc_id, size, source_size, target, place, CAST(floor(target) AS BIGINT) AS whole,
-             coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id
+             coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY digest, doc_id
                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
       FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
     ), used AS (

@@ -2,7 +2,8 @@
 
 A global histogram of lengths goes through dynamic programming, which chooses the bucket boundaries
 with the least padding. Inside a bucket all sequences are padded to its longest one, and batches
-hold as many rows as fit the token budget at that length.
+hold as many rows as fit the token budget at that length. Lengths above 4,096 share a cell with others up to 1/2,048
+longer and go into one bucket with them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import digest_of, shard_of, shards_for, with_offsets, word_count
+from ledgerloom.llm.common import digest_of, numbered, shard_of, shards_for, with_offsets, word_count
 from ledgerloom.sources.workspace import materialize
 
 BUCKETS = 16
@@ -77,6 +78,16 @@ def optimal_boundaries(lengths: Sequence[int], counts: Sequence[int], buckets: i
     return sorted(ends)
 
 
+def pack_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``pack`` of a written table, whose batches follow the order in which its rows were written.
+
+    ``position`` is the number of the row in that order. It tells repeated rows apart. NULL and empty texts have
+    nothing to pack, as in ``pack``; an empty table gives no rows; other columns are ignored.
+    """
+    table = numbered(docs).select(F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), "row")
+    return pack(table, "id", order=F.col("row"), **options).withColumnRenamed("id", id_col)
+
+
 def pack(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -84,30 +95,40 @@ def pack(
     buckets: int = BUCKETS,
     token_budget: int = TOKEN_BUDGET,
     rows_per_shard: int = ROWS_PER_SHARD,
+    order: Column | None = None,
 ) -> DataFrame:
     """One row per input row: id, length, bucket, padded_length, batch, batch_row, padding.
 
     ``length`` is the number of words of ``text`` unless given. Batches are numbered inside a bucket
     from 0 and hold ``token_budget // padded_length`` rows (at least one: a longer document is a
     batch of its own) in a reproducible random order; only the last batch of a bucket may be short.
+    ``order`` gives another order: a whole number for each row, unlike all others and nearly without gaps from 0,
+    which is returned too, as ``position``.
     Rows of length 0 or NULL have nothing to pack: bucket, batch and the rest are NULL. An empty
     table gives no rows; repeated rows are packed each.
     """
     size = word_count(F.col("text")) if length is None else F.coalesce(length, F.lit(0)).cast("bigint")
-    rows = docs.select(F.col(id_col).alias("_id"), size.alias("length"), digest_of(F.col(id_col)).alias("digest"))
+    digest = digest_of(F.col(id_col), F.col("text") if "text" in docs.columns else size) if order is None else order.cast("bigint")
+    rows = docs.select(F.col(id_col).alias("_id"), size.alias("length"), digest.alias("digest"))
     rows = materialize(rows.withColumn("cell", cell_top(F.col("length"))), "pack-lengths")
-    cells = rows.filter("length > 0").groupBy("cell").agg(F.count("*").alias("rows")).orderBy("cell").collect()
-    tops = optimal_boundaries([c[0] for c in cells], [c[1] for c in cells], buckets)
+    cells = rows.filter("length > 0").groupBy("cell").agg(F.count("*").alias("rows"), F.max("length").alias("longest")).orderBy("cell").collect()
+    tops = optimal_boundaries([c["longest"] for c in cells], [c["rows"] for c in cells], buckets)
     bucket, padded = F.lit(None).cast("int"), F.lit(None).cast("bigint")
     for number, top in reversed(list(enumerate(tops))):
-        inside = (F.col("length") > 0) & (F.col("cell") <= top)
+        inside = (F.col("length") > 0) & (F.col("length") <= top)
         bucket = F.when(inside, F.lit(number)).otherwise(bucket)
         padded = F.when(inside, F.lit(top).cast("bigint")).otherwise(padded)
     placed = rows.withColumn("bucket", bucket).withColumn("padded_length", padded)
-    shards = shards_for(sum(c[1] for c in cells), rows_per_shard)
+    if order is None:
+        shards = shards_for(sum(c["rows"] for c in cells), rows_per_shard)
+        shard = shard_of(F.col("digest"), shards)
+    else:
+        shards = shards_for((rows.agg(F.max("digest")).first()[0] or 0) + 1, rows_per_shard)
+        shard = F.floor(F.col("digest") / rows_per_shard).cast("bigint")
+    position = [] if order is None else [F.col("digest").alias("position")]
     numbered = with_offsets(
         placed.filter("bucket is not null")
-        .withColumn("shard", shard_of(F.col("digest"), shards))
+        .withColumn("shard", shard)
         .withColumn("tie", F.struct("_id", "length"))
         .withColumn("one", F.lit(1)),
         ["bucket"],
@@ -124,9 +145,11 @@ def pack(
         F.floor(F.col("place") / per_batch).cast("bigint").alias("batch"),
         (F.col("place") % per_batch).alias("batch_row"),
         (F.col("padded_length") - F.col("length")).alias("padding"),
+        *position,
     )
     nothing = placed.filter("bucket is null").select(
         F.col("_id").alias(id_col), "length", "bucket", "padded_length",
         *[F.lit(None).cast("bigint").alias(c) for c in ("batch", "batch_row", "padding")],
+        *position,
     )
     return packed.unionByName(nothing)

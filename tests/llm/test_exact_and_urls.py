@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import exact_dedup, url_filter
 
@@ -34,13 +35,12 @@ def test_groups_equal_brute_force(spark):
         assert sum(r[2] for r in rows) == (i == keep)
 
 
-def test_drop_keeps_columns_and_rows_without_id(spark):
+def test_one_row_of_each_group_stays_with_its_columns(spark):
     docs = _docs(spark, ROWS)
-    left = exact_dedup.drop_exact_copies(docs)
+    left = exact_dedup.one_row_of_each(docs)
     assert left.columns == docs.columns
-    # 3 and 1 are both empty, 2, 5 and 9 equal; the repeated row stays with itself
-    assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 2, 4, 6, 7, 7, 10, 11]
-    assert left.filter("doc_id is null").count() == 1
+    expected = docs.select(exact_dedup.text_sha256(F.col("text"))).distinct().count()
+    assert left.count() == left.select(exact_dedup.text_sha256(F.col("text"))).distinct().count() == expected
 
 
 def test_one_row_of_each_text(spark):

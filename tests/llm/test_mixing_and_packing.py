@@ -1,4 +1,5 @@
 import itertools
+import os
 import random
 
 from hypothesis import given, settings
@@ -6,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common, exact_dedup, jaccard_join, mixing, packing
+from ledgerloom.sources.workspace import work_scope
 
 SCHEMA = "doc_id long, text string, source string, digest string, shard string, position string, _id string, n_chars long"
 
@@ -164,3 +166,41 @@ def test_cells_are_bounded(spark):
     tops = [r[0] for r in spark.createDataFrame([(n,) for n in lengths], "n long").select(packing.cell_top(F.col("n"))).collect()]
     assert tops[:2] == [1, 4096]
     assert all(n <= t <= n * (1 + 1 / 2048) + 1 for n, t in zip(lengths, tops))
+
+
+def test_batches_follow_the_order_of_the_table(spark, tmp_path):
+    docs = _docs(spark, _corpus() * 2)
+    written = docs.withColumn("at", F.xxhash64("doc_id", "text", "source")).repartitionByRange(5, "at").sortWithinPartitions("at")
+    written.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    packed = packing.pack_in_order(table, buckets=3, token_budget=150, rows_per_shard=7).collect()
+    assert sorted(r.position for r in packed) == list(range(table.count()))
+    # the table's own order: by file, then by place in it
+    places = table.select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
+    order = [r.doc_id for r in sorted(places, key=lambda r: (r.file_name, r.row_index))]
+    assert [r.doc_id for r in sorted(packed, key=lambda r: r.position)] == order
+    for bucket in {r.bucket for r in packed} - {None}:
+        inside = sorted((r for r in packed if r.bucket == bucket), key=lambda r: r.position)
+        places = [(r.batch, r.batch_row) for r in inside]
+        assert places == sorted(places) and len(set(places)) == len(places)
+        assert {r.padded_length for r in inside} == {max(r.length for r in inside)}
+
+
+def test_written_tables_are_numbered_where_they_lie(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("row"), F.col("id").alias("_file"), F.lit(1).alias("doc"))
+    rows.repartitionByRange(4, "row").sortWithinPartitions("row").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    with work_scope(spark) as path:
+        assert all(r.row == r.doc.row for r in common.numbered(table).collect())
+        assert not os.path.exists(path)
+        # rows that were left out or are not in a file are numbered after being written
+        for other in (table.filter("row % 3 = 0"), table.unionByName(table), table.withColumn("_metadata", F.lit(1))):
+            numbers = [r.row for r in common.numbered(other).collect()]
+            assert sorted(numbers) == list(range(other.count()))
+
+
+def test_rows_without_an_id_are_spread(spark):
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.lit("a").alias("source"))
+    spread = docs.select(common.shard_of(common.digest_of(F.col("doc_id"), F.col("text")), 40).alias("shard")).groupBy("shard").count()
+    assert spread.count() == 40 and spread.agg(F.max("count")).first()[0] < 700
+    assert packing.pack(docs).count() == mixing.mix(docs).count() == 20_000

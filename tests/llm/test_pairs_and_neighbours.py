@@ -71,15 +71,6 @@ def test_join_equals_brute_force(spark, monkeypatch, small, blocks):
     assert sum(r.kept for r in found) == len({(r.class_id if r.class_size > 1 else r.doc_id) for r in found})
 
 
-def test_one_of_each_stays(spark):
-    docs = _docs(spark, _rows())
-    left = jaccard_join.keep_one_of_each(docs)
-    assert left.columns == docs.columns
-    ids = [r.doc_id for r in left.collect()]
-    expected = {i for i, c, _, _ in _expected([r for r in _rows() if r[0] is not None]) if i == c}
-    assert set(ids) - {None} == expected and ids.count(None) == 1
-
-
 def test_one_row_of_each_class(spark):
     rows = [r for r in _rows() if r[0] is not None] + [(304, "its own text"), (301, "")]
     left = jaccard_join.one_row_of_each(_docs(spark, rows))

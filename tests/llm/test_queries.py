@@ -11,7 +11,7 @@ import __spark_entry__ as entry_file
 import corpus_pipeline
 from ledgerloom.llm.oracle import ORACLE
 from ledgerloom.llm.queries import QUERIES
-from ledgerloom.sources.workspace import materialize
+from ledgerloom.sources.workspace import materialize, work_scope
 
 
 def test_every_operator_has_one_query():
@@ -49,9 +49,22 @@ def test_pipeline_stages(spark, folder):
         if name == "exact dedup":
             assert docs.select(F.regexp_replace("text", r"\s+", " ")).distinct().count() == before
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert sorted(r.position for r in packed.select("position").collect()) == list(range(docs.count()))
     assert packed.count() == docs.count() and packed.filter("length > 0 and batch is null").isEmpty()
 
 
+def test_stages_leave_no_copies_of_the_documents(spark, folder, tmp_path):
+    """A stage leaves a small table behind its result: row numbers, not texts."""
+    source = f"{folder}/documents.parquet"
+    docs, texts = spark.read.parquet(source), os.path.getsize(source)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        with work_scope(spark) as path:
+            rows = stage(spark, docs, folder)
+            left = sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(path) for f in files)
+            assert left < texts / 4, name
+            assert rows.count() > 0
+
+
 def test_pipeline_of_nothing(spark, folder, tmp_path):
     for table in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{table}.parquet").filter(F.lit(False)).write.parquet(str(tmp_path / f"{table}.parquet"))
