@@ -104,7 +104,8 @@ class Merge:
 _MATCH = "_match_"
 
 
-def _with_match_keys(df: DataFrame, on: Sequence[str], ignore_case: bool) -> DataFrame:
+def with_match_keys(df: DataFrame, on: Sequence[str], ignore_case: bool) -> DataFrame:
+    """``df`` with the columns by which a merge compares rows, in lower case where case is ignored."""
     types = dict(df.dtypes)
     return df.withColumns(
         {
@@ -131,20 +132,22 @@ def merge(
     key: str | None = None,
     insert_constants: Mapping[str, Column] | None = None,
     ignore_case: bool = False,
+    keys_of: DataFrame | None = None,
 ) -> Merge:
     """Update target rows that match a source row on ``on``; insert source rows that match none.
 
     ``updates`` are the columns a match takes from the source. Inserted rows take every shared
     column, then ``insert_constants``, and a new ``key`` if one is named. A target row matched
     twice is an error. Matched rows are logged as UPDATE even if nothing differs. ``ignore_case``
-    matches text columns of ``on`` as names are compared elsewhere.
+    matches text columns of ``on`` as names are compared elsewhere. ``keys_of`` is the whole table, where
+    ``target`` is a part of it: new keys come after its highest.
 
     The target is the left side of a left join rather than of a full join: it then stays in
     place when the source is small, and a hot key in it can be split when it is not.
     """
     # read several times below, and often the result of parsing files
-    source = _with_match_keys(materialize(source, "merge-source"), on, ignore_case)
-    target = _with_match_keys(target, on, ignore_case)
+    source = with_match_keys(materialize(source, "merge-source"), on, ignore_case)
+    target = with_match_keys(target, on, ignore_case)
     keys = [_MATCH + c for c in on]
     columns = [c for c in target.columns if c not in keys]
     renamed = source.select(
@@ -163,7 +166,7 @@ def merge(
         fresh = fresh.withColumn(name, value)
     if key:
         order = [F.col(c) for c in dict.fromkeys([*on, *fresh.columns])]
-        fresh = with_new_keys(fresh, target, key, order)
+        fresh = with_new_keys(fresh, target if keys_of is None else keys_of, key, order)
     types = {field.name: field.dataType for field in target.schema.fields}
     inserted = fresh.select(
         *(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from ledgerloom.functions import text
 from ledgerloom.operators import mutation
 from ledgerloom.operators.topk import top
 from ledgerloom.sources.delimited import export_delimited, load_delimited
-from ledgerloom.sources.tables import create_table_from
-from ledgerloom.sources.workspace import new_work_path
+from ledgerloom.sources.tables import create_table, create_table_from, drop_table, read_back
+from ledgerloom.sources.workspace import materialize, new_work_path
 
 KEY = "customer_id"
 
@@ -69,3 +71,18 @@ def bulk_round_trip(customers: DataFrame, top_rows: int | None = None) -> DataFr
     export_delimited(demo, file)
     emptied = mutation.delete_all(demo)
     return mutation.insert_rows(emptied, load_delimited(spark, file, demo.schema))
+
+
+def catalog_table_cycle(customers: DataFrame) -> DataFrame:
+    """Create a catalog table, insert the customers and then more under new keys, read it back in key order, drop it."""
+    spark = customers.sparkSession
+    name = f"demo_{uuid.uuid4().hex}"
+    rows = customers.select(KEY, "customer_name")
+    create_table(spark, name, "customer_id bigint, customer_name string", new_work_path(spark, "demo"))
+    try:
+        rows.write.insertInto(name)
+        insert_test_customers(spark.table(name)).filter(_is_test_row()).write.insertInto(name)
+        copy = materialize(spark.table(name), "read-back")
+    finally:
+        drop_table(spark, name)
+    return read_back(copy, F.col(KEY))

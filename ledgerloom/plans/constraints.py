@@ -116,16 +116,19 @@ def key_violations(shop: Shop) -> DataFrame:
     )
 
 
-def foreign_key_violations(shop: Shop) -> DataFrame:
-    """References without a parent. ``shop.sales`` is read once per reference and once more."""
-    sales_parents = {
+def sales_parents(shop: Shop) -> dict[str, tuple[DataFrame, str]]:
+    return {
         "id_service": (shop.services, "id_service"),
         "id_client": (shop.client, "id"),
         "id_employee": (shop.employee, "id"),
     }
+
+
+def foreign_key_violations(shop: Shop) -> DataFrame:
+    """References without a parent. ``shop.sales`` is read twice: for its references, and for the rows that hold orphans."""
     return _union(
         [
-            quality.foreign_keys(shop.sales, "sales", ["id_sales"], sales_parents),
+            quality.foreign_keys(shop.sales, "sales", ["id_sales"], sales_parents(shop)),
             quality.foreign_keys(shop.employee, "employee", ["id"], {"skill": (shop.skill, "id")}),
         ]
     )
@@ -140,6 +143,14 @@ def _phone_rule():
     return check("phone", phone.rlike(r"^[0-9]{11}\z"), phone)
 
 
+def sales_rules() -> list[quality.RowRule]:
+    expected = F.col("expected_date")
+    return [
+        *_required("id_sales", "id_service", "id_client", "quantity", "id_employee"),
+        check("expected_date", expected >= F.col("date_created"), expected),
+    ]
+
+
 def check_violations(shop: Shop) -> DataFrame:
     """NOT NULL, CHECK and length rules, one scan per table."""
     contact = [
@@ -150,7 +161,6 @@ def check_violations(shop: Shop) -> DataFrame:
         _phone_rule(),
     ]
     price, skill_id = F.col("price_service"), F.col("id")
-    expected = F.col("expected_date")
     return _union(
         [
             quality.row_violations(
@@ -168,10 +178,7 @@ def check_violations(shop: Shop) -> DataFrame:
                 shop.sales,
                 "sales",
                 ["id_sales"],
-                [
-                    *_required("id_sales", "id_service", "id_client", "quantity", "id_employee"),
-                    check("expected_date", expected >= F.col("date_created"), expected),
-                ],
+                sales_rules(),
             ),
             quality.row_violations(shop.client, "client", ["id"], contact),
             quality.row_violations(shop.employee, "employee", ["id"], [*contact, *_required("skill")]),

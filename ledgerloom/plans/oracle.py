@@ -57,6 +57,32 @@ _YEAR_MONTH = (
 )
 _AMOUNT = "unit_price * quantity"
 
+_MONTHLY = f"""SELECT {_YEAR_MONTH}, CAST(sum(unit_price) AS DOUBLE) / count(unit_price) AS average_price,
+    CAST(sum({_AMOUNT}) AS DOUBLE) AS total_amount
+    FROM deals JOIN rows_sold USING (order_id) GROUP BY year(order_date), month(order_date)"""
+
+# orders before, merged and after the deletion of a month's low-priority ones
+_IN_MONTH = "order_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'"
+_ORDERS_CHANGED = f"""plain AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+        o_orderpriority AS priority, CAST(o_totalprice AS DECIMAL(18,2)) AS paid_amount FROM orders),
+    corrected AS (SELECT * REPLACE (CASE WHEN order_id % 14 = 0 THEN DATE '1998-04-15' ELSE order_date END AS order_date,
+        CAST(paid_amount + 10 AS DECIMAL(18,2)) AS paid_amount) FROM plain WHERE {_IN_MONTH} AND order_id % 7 = 0),
+    copied AS (SELECT * REPLACE (order_id + 1000000000 AS order_id, DATE '1998-05-02' AS order_date)
+        FROM plain WHERE {_IN_MONTH} AND order_id % 11 = 0),
+    merged AS (SELECT * FROM plain WHERE order_id NOT IN (SELECT order_id FROM corrected)
+        UNION ALL SELECT * FROM corrected UNION ALL SELECT * FROM copied),
+    kept AS (SELECT * FROM merged WHERE NOT ({_IN_MONTH} AND priority = '5-LOW'))"""
+
+
+def _order_columns(prefix: str = "", source: str = "") -> str:
+    dot = f"{source}." if source else ""
+    kinds = {"order_date": "VARCHAR", "paid_amount": "DOUBLE"}
+    names = ("order_id", "customer_id", "order_date", "priority", "paid_amount")
+    return ", ".join((f"CAST({dot}{n} AS {kinds[n]})" if n in kinds else f"{dot}{n}") + f" AS {prefix}{n}" for n in names)
+
+
+_NO_ORDER = "NULL, NULL, NULL, NULL, NULL"
+
 _CALENDAR = f"""SELECT o.order_id, strftime(order_date, '%d.%m.%Y') AS dd_mm_year,
     {_month(MONTHS_RU, 'order_date')} AS month_name, CAST(quarter(order_date) AS BIGINT) AS quarter,
     CAST(ceil(month(order_date) / 4.0) AS BIGINT) AS third_of_year, customer_name
@@ -204,18 +230,29 @@ _SHOP = """services AS (SELECT p_partkey AS id_service, p_name AS name_service,
     skill AS (SELECT r_regionkey AS id FROM region)"""
 
 
+# the sales after a month of them was changed, and the services still offered
+_SALES_CHANGED = """changed AS (
+        SELECT * EXCLUDE (inside) REPLACE (
+            CASE WHEN inside AND quantity > 25 THEN date_created - INTERVAL 1 DAY ELSE expected_date END AS expected_date,
+            CASE WHEN inside AND quantity > 25 THEN id_client + 1000000000 ELSE id_client END AS id_client)
+        FROM (SELECT *, coalesce(CAST(date_created AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-03-31', false) AS inside FROM sales)
+        WHERE NOT (inside AND id_employee % 3 = 0)),
+    offered AS (SELECT * FROM services WHERE id_service % 50 <> 3)"""
+
+
 def _violation(table: str, rule: str, key: str, detail: str, source: str) -> str:
     return f"""SELECT '{table}' AS table_name, '{rule}' AS rule, CAST({key} AS VARCHAR) AS row_key,
         CAST({detail} AS VARCHAR) AS detail FROM {source}"""
 
 
-def _repeats(table: str, rule: str, key: str) -> str:
-    return _violation(table, rule, key, "count(*)", f"{table} GROUP BY {key} HAVING count(*) > 1 OR {key} IS NULL")
+def _repeats(table: str, rule: str, key: str, source: str | None = None) -> str:
+    return _violation(table, rule, key, "count(*)", f"{source or table} GROUP BY {key} HAVING count(*) > 1 OR {key} IS NULL")
 
 
-def _orphans(table: str, key: str, column: str, parent: str, parent_key: str) -> str:
-    source = f"""{table} WHERE {column} IS NOT NULL AND NOT EXISTS (
-        SELECT 1 FROM {parent} WHERE {parent}.{parent_key} = {table}.{column})"""
+def _orphans(table: str, key: str, column: str, parent: str, parent_key: str, rows: str | None = None) -> str:
+    rows = rows or table
+    source = f"""{rows} WHERE {column} IS NOT NULL AND NOT EXISTS (
+        SELECT 1 FROM {parent} WHERE {parent}.{parent_key} = {rows}.{column})"""
     return _violation(table, f"foreign_key_{column}", key, column, source)
 
 
@@ -265,11 +302,20 @@ ORACLE: dict[str, str] = {
         FROM deals JOIN rows_sold USING (order_id) JOIN goods USING (item_id) JOIN buyers USING (customer_id)
         WHERE lower(item_name) = 'blue bolt' GROUP BY customer_id, customer_name, segment""",
     ),
-    "monthly_sales": _with(
+    "monthly_sales": _with("deals rows_sold", _MONTHLY),
+    "monthly_sales_bucketed": _with("deals rows_sold", _MONTHLY),
+    "running_total_bucketed": _with("buyers deals rows_sold", _RUNNING),
+    "item_quantities_by_month": _with(
         "deals rows_sold",
-        f"""SELECT {_YEAR_MONTH}, CAST(sum(unit_price) AS DOUBLE) / count(unit_price) AS average_price,
-        CAST(sum({_AMOUNT}) AS DOUBLE) AS total_amount
-        FROM deals JOIN rows_sold USING (order_id) GROUP BY year(order_date), month(order_date)""",
+        f"""SELECT item_id, CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum({_AMOUNT}) AS DOUBLE) AS total_amount
+        FROM deals JOIN rows_sold USING (order_id)
+        WHERE order_date BETWEEN DATE '1998-03-10' AND DATE '1998-04-09' GROUP BY item_id""",
+    ),
+    "quarter_sales_by_month": _with(
+        "deals rows_sold",
+        f"""SELECT {_YEAR_MONTH}, CAST(sum({_AMOUNT}) AS DOUBLE) AS total_amount, count(*) AS lines
+        FROM deals JOIN rows_sold USING (order_id) WHERE quarter(order_date) = 3
+        GROUP BY year(order_date), month(order_date)""",
     ),
     "big_months": _with(
         "deals rows_sold",
@@ -433,6 +479,23 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'INSERT', {_logged('inserted', 'fresh')} FROM fresh""",
         _CHANGES,
     ),
+    "orders_changed_by_month": f"WITH {_ORDERS_CHANGED} SELECT {_order_columns()} FROM kept",
+    "orders_changed_log": f"""WITH {_ORDERS_CHANGED}
+        SELECT {_order_columns('deleted_', 'p')}, 'UPDATE' AS action, {_order_columns('inserted_', 'c')}
+        FROM plain p JOIN corrected c USING (order_id)
+        UNION ALL SELECT {_NO_ORDER}, 'INSERT', {_order_columns()} FROM copied
+        UNION ALL SELECT {_order_columns()}, 'DELETE', {_NO_ORDER} FROM merged WHERE {_IN_MONTH} AND priority = '5-LOW'""",
+    "order_totals_kept": f"""WITH {_ORDERS_CHANGED}
+        SELECT CAST(month AS VARCHAR) AS month, orders, CAST(paid AS DOUBLE) AS paid_amount,
+            CAST(sum(paid) OVER (ORDER BY month) AS DOUBLE) AS running_amount
+        FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(*) AS orders, sum(paid_amount) AS paid
+            FROM kept GROUP BY ALL)""",
+    "catalog_table_cycle": _with(
+        "buyers",
+        f"""SELECT customer_id, customer_name FROM buyers UNION ALL
+        SELECT (SELECT max(customer_id) FROM buyers) + row_number() OVER (ORDER BY customer_id), 'TEST_' || customer_name FROM newest""",
+        "newest AS (SELECT * FROM buyers ORDER BY customer_id DESC LIMIT 5)",
+    ),
     "bulk_round_trip": _with("buyers", "SELECT customer_id, customer_name FROM buyers"),
     "xml_items_source": _with("stock", _STOCK_PLAIN),
     "xml_items_shred": _with("stock", _STOCK_PLAIN),
@@ -524,6 +587,16 @@ ORACLE: dict[str, str] = {
             _violation("skill", "check_id", "id", "id", "skill WHERE id NOT IN (1, 2, 3)"),
         ]
     ),
+    "dq_sales_kept": f"WITH {_SHOP}, {_SALES_CHANGED} "
+    + _union(
+        [
+            _violation("sales", "check_expected_date", "id_sales", "expected_date", "changed WHERE expected_date < date_created"),
+            _repeats("sales", "primary_key", "id_sales", "changed"),
+            _orphans("sales", "id_sales", "id_service", "offered", "id_service", "changed"),
+            _orphans("sales", "id_sales", "id_client", "client", "id", "changed"),
+            _orphans("sales", "id_sales", "id_employee", "employee", "id", "changed"),
+        ]
+    ),
     "dq_defaults": f"""WITH {_SHOP} SELECT id_sales, id_service, id_client, CAST(quantity AS BIGINT) AS quantity,
         CAST(date_created AS VARCHAR) AS date_created, CAST(expected_date AS VARCHAR) AS expected_date,
         id_employee, date_created IS NULL AS defaulted FROM sales""",

@@ -19,8 +19,10 @@ from ledgerloom.plans import (
     ranking,
     sales,
     subqueries,
+    upkept,
 )
 from ledgerloom.sources.catalog import Catalog
+from ledgerloom.sources.layouts import bucket_facts, write_by_month
 from ledgerloom.sources.workspace import materialize
 
 SINCE = "1998-01-01"
@@ -58,6 +60,15 @@ def _half_in_small_letters(df: DataFrame, name: str, key: str) -> DataFrame:
     return df.withColumn(name, F.when(F.col(key) % 2 == 0, F.lower(name)).otherwise(F.col(name)))
 
 
+def _sales_by_month(c: Catalog):
+    rows = c.sales.select("order_id", "item_id", "quantity", "unit_price", "order_date")
+    return write_by_month(rows, "order_date")
+
+
+def _plain_orders(c: Catalog) -> DataFrame:
+    return c.orders.select("order_id", "customer_id", "order_date", "priority", "paid_amount")
+
+
 def _merge_customers(c: Catalog):
     return changes.merge_scratch(changes.changed_customers(c.customers))
 
@@ -105,6 +116,11 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "slow_items_by_month_zero_filled": lambda c: sales.slow_items_by_month(
         c.orders, c.lines, c.items, 5, SPAN
     ),
+    # the same from facts laid out by order or by month
+    "monthly_sales_bucketed": lambda c: sales.monthly_sales_bucketed(bucket_facts(c.orders, c.lines)),
+    "running_total_bucketed": lambda c: ranking.running_total_bucketed(bucket_facts(c.orders, c.lines), c.customers, SINCE),
+    "item_quantities_by_month": lambda c: sales.item_quantities(_sales_by_month(c), "1998-03-10", "1998-04-09"),
+    "quarter_sales_by_month": lambda c: sales.quarter_sales(_sales_by_month(c), 3, *SPAN),
     # subqueries
     "idle_salespeople_exists": lambda c: subqueries.idle_salespeople_not_exists(c.people, c.sales, "1998-07-04"),
     "idle_salespeople_left_join": lambda c: subqueries.idle_salespeople(c.people, c.sales, "1998-07-04"),
@@ -163,6 +179,10 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "delete_where": lambda c: changes.delete_renamed(changes.changed_customers(c.customers)),
     "merge_customers": lambda c: _merge_customers(c).snapshot,
     "merge_change_log": lambda c: _merge_customers(c).changes,
+    "orders_changed_by_month": lambda c: upkept.orders_changed(_plain_orders(c)).table.rows(),
+    "orders_changed_log": lambda c: upkept.orders_changed(_plain_orders(c)).log,
+    "order_totals_kept": lambda c: upkept.order_totals_kept(_plain_orders(c)),
+    "catalog_table_cycle": lambda c: changes.catalog_table_cycle(c.customers),
     "bulk_round_trip": lambda c: changes.bulk_round_trip(c.customers),
     # XML and JSON
     "xml_items_source": lambda c: documents.xml_items_source(c.stock_items),
@@ -185,6 +205,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "dq_foreign_keys": lambda c: constraints.foreign_key_violations(_shop_with_sales_table(c)),
     "dq_checks": lambda c: constraints.check_violations(constraints.shop_from(c)),
     "dq_defaults": _defaults_applied,
+    "dq_sales_kept": lambda c: upkept.sales_violations_kept(constraints.shop_from(c)),
 }
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.calendar import months_from, with_empty_months
+from ledgerloom.sources.layouts import BucketedFacts, MonthTable
 from ledgerloom.sources.workspace import materialize
 
 
@@ -28,10 +31,23 @@ def order_amounts(lines: DataFrame) -> DataFrame:
 
 def monthly_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Average line price and total amount per month."""
+    return _monthly_report(order_amounts(lines).join(orders.select("order_id", "order_date"), "order_id"))
+
+
+def monthly_sales_bucketed(facts: BucketedFacts) -> DataFrame:
+    """The same from facts bucketed by order: no line and no order is shuffled.
+
+    Orders with very many lines are summed apart; both parts meet as one row per order.
+    """
+    parts = (
+        order_amounts(lines).join(orders.select("order_id", "order_date"), "order_id") for orders, lines in facts.parts()
+    )
+    return _monthly_report(reduce(DataFrame.unionByName, parts))
+
+
+def _monthly_report(amounts: DataFrame) -> DataFrame:
     return (
-        order_amounts(lines)
-        .join(orders.select("order_id", "order_date"), "order_id")
-        .groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
+        amounts.groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
         .agg(
             (F.sum("price_sum").cast("double") / F.sum("priced_lines")).alias("average_price"),
             F.sum("amount").alias("total_amount"),
@@ -40,6 +56,33 @@ def monthly_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def item_quantities(sales: MonthTable, first: str, last: str) -> DataFrame:
+    """Quantity and amount of each item sold from one day to another, from the folders of those months only."""
+    return (
+        sales.between(first, last)
+        .groupBy("item_id")
+        .agg(F.sum("quantity").alias("quantity"), F.sum(line_amount()).alias("total_amount"))
+        .orderBy("item_id")
+    )
+
+
+def quarter_sales(sales: MonthTable, quarter: int, first: str, last: str) -> DataFrame:
+    """Sales per month of one quarter of every year from one day to another.
+
+    The months come from a calendar, so which folders are read is known at run time only; the calendar has one
+    row per month and is broadcast, and the scan takes its folders from it.
+    """
+    months = months_from(sales.spark, first, last).select(F.make_date("year", "month", F.lit(1)).alias("month"))
+    wanted = months.filter(F.quarter("month") == quarter)
+    return (
+        sales.read()
+        .join(F.broadcast(wanted), "month")
+        .groupBy(F.year("month").alias("year"), F.month("month").alias("month"))
+        .agg(F.sum(line_amount()).alias("total_amount"), F.count("*").alias("lines"))
+        .orderBy("year", "month")
+    )
+
+
 def _month_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return (
         order_amounts(lines)

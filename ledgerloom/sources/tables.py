@@ -33,8 +33,10 @@ def create_table_from(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def create_table(spark: SparkSession, name: str, columns: str) -> None:
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet")
+def create_table(spark: SparkSession, name: str, columns: str, path: str | None = None) -> None:
+    """Create an empty catalog table, in the warehouse or at ``path``."""
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{place}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
