@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import first_spelling
+from ledgerloom.sources.workspace import materialize
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def pivot_count(df: DataFrame, row: str, key: str, counted: str, values: Sequence[str]) -> DataFrame:
@@ -18,7 +24,7 @@ def pivot_count(df: DataFrame, row: str, key: str, counted: str, values: Sequenc
     """
     folded = [v.lower() for v in values]
     counts = df.withColumn("_key", F.lower(key)).groupBy(row).pivot("_key", folded).agg(F.count(counted))
-    cells = [F.coalesce(F.col(f"`{f}`"), F.lit(0)).alias(v) for f, v in zip(folded, values)]
+    cells = [F.coalesce(named(f), F.lit(0)).alias(v) for f, v in zip(folded, values)]
     return counts.select(row, *cells)
 
 
@@ -33,8 +39,21 @@ def distinct_names(df: DataFrame, key: str) -> DataFrame:
     return named.groupBy(F.lower(key).alias("_name")).agg(first_spelling(F.col(key)).alias(key)).select(key)
 
 
+def cell_counts(df: DataFrame, row: str, key: str, counted: str) -> DataFrame:
+    """Work table (row, folded, name, cells): counts per row and name without regard to case, with a spelling."""
+    counts = df.groupBy(row, F.lower(key).alias("folded")).agg(
+        first_spelling(F.col(key)).alias("name"), F.count(counted).alias("cells")
+    )
+    return materialize(counts, "pivot-cells")
+
+
 def pivot_count_discovered(df: DataFrame, row: str, key: str, counted: str) -> DataFrame:
-    return pivot_count(df, row, key, counted, discovered_values(df, key))
+    """``pivot_count`` with a column for each name. ``df`` is read once: names and cells come from its counts."""
+    cells = cell_counts(df, row, key, counted)
+    names = discovered_values(cells, "name")
+    folded = [n.lower() for n in names]
+    found = cells.groupBy(row).pivot("folded", folded).agg(F.sum("cells"))
+    return found.select(row, *(F.coalesce(named(f), F.lit(0)).alias(n) for f, n in zip(folded, names)))
 
 
 def unpivot_present(

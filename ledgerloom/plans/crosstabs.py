@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates, text
 from ledgerloom.operators.reshaping import (
     distinct_names,
+    named,
     pivot_count,
     pivot_count_discovered,
     unpivot_as_text,
@@ -17,14 +18,16 @@ from ledgerloom.operators.reshaping import (
 )
 
 
-def _orders_by_month(orders: DataFrame, customers: DataFrame, key: Column) -> DataFrame:
+def orders_by_month(orders: DataFrame, customers: DataFrame, key: Column | str) -> DataFrame:
+    """(month, key, order_id) of every order, with something of its customer as the key."""
+    key = F.col(key) if isinstance(key, str) else key
     return orders.join(customers, "customer_id").select(
         dates.month_start(F.col("order_date")).alias("month"), key.alias("key"), "order_id"
     )
 
 
 def _dotted_months(counts: DataFrame) -> DataFrame:
-    columns = [F.col(f"`{c}`") for c in counts.columns if c != "month"]
+    columns = [named(c) for c in counts.columns if c != "month"]
     return counts.orderBy("month").select(
         dates.dotted_date(F.col("month")).alias("invoice_month"), *columns
     )
@@ -33,13 +36,13 @@ def _dotted_months(counts: DataFrame) -> DataFrame:
 def pivot_customers_by_month(orders: DataFrame, stores: DataFrame, places: Sequence[str]) -> DataFrame:
     """Number of orders per month, one column per place in the customers' names."""
     place = text.inside_parentheses(F.col("customer_name"))
-    by_month = _orders_by_month(orders, stores, place)
+    by_month = orders_by_month(orders, stores, place)
     return _dotted_months(pivot_count(by_month, "month", "key", "order_id", places))
 
 
 def pivot_dynamic(orders: DataFrame, customers: DataFrame, key: str) -> DataFrame:
     """The same with one column per value found in the data, in order."""
-    by_month = _orders_by_month(orders, customers, F.col(key))
+    by_month = orders_by_month(orders, customers, key)
     return _dotted_months(pivot_count_discovered(by_month, "month", "key", "order_id"))
 
 

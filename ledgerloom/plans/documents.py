@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.json_path import explode_json, json_array, json_query, json_value
 from ledgerloom.functions.text import joined, same_text
 from ledgerloom.operators.mutation import Merge, merge
-from ledgerloom.sources.item_xml import export_items, read_documents, read_items, shred_items
+from ledgerloom.sources.item_xml import export_items, read_documents, read_items, read_items_split, shred_items
 from ledgerloom.sources.workspace import new_work_path
 
 # what a match takes from the document
@@ -42,6 +42,22 @@ def xml_items_shred(items: DataFrame) -> DataFrame:
     return shred_items(read_documents(items.sparkSession, xml_of(items)))
 
 
+def xml_items_split(items: DataFrame) -> DataFrame:
+    """The same from documents that are cut at their records."""
+    return read_items_split(items.sparkSession, xml_of(items)).rows
+
+
+def xml_load_rejects(items: DataFrame) -> DataFrame:
+    """Records that a load sets aside: of a price list with some prices missing their digits and some end tags."""
+    name, price = F.col("item_name"), F.col("unit_price").cast("string")
+    bad_price = F.when(F.col("item_id") % 10 == 3, F.lit("soon")).otherwise(price)
+    end = F.when(F.col("item_id") % 10 == 7, F.lit("</Price>")).otherwise(F.lit("</UnitPrice>"))
+    record = F.concat(F.lit('<Item Name="'), name, F.lit('"><UnitPrice>'), bad_price, end, F.lit("</Item>"))
+    path = new_work_path(items.sparkSession, "price-list")
+    items.select(record.alias("value")).write.text(path)
+    return read_items_split(items.sparkSession, path).rejects.select("reason", "record")
+
+
 def xml_export_round_trip(items: DataFrame) -> DataFrame:
     """Items exported, loaded, exported again from what was loaded, and loaded from that."""
     loaded = xml_items_source(items)

@@ -342,6 +342,7 @@ ORACLE: dict[str, str] = {
     "idle_salespeople_left_join": _with("staff deals rows_sold", _IDLE),
     "min_price_items": _with("goods", _LOWEST),
     "min_price_join": _with("goods", _LOWEST),
+    "min_price_items_sql": _with("goods", _LOWEST),
     "min_price_one": _with("goods", _LOWEST + " ORDER BY item_id LIMIT 1"),
     "top_payers_in": _with("buyers deals", _PAYERS),
     "top_payers_cte": _with("buyers deals", _PAYERS),
@@ -424,6 +425,14 @@ ORACLE: dict[str, str] = {
             "(SELECT * FROM deals JOIN buyers USING (customer_id))",
         ),
     ),
+    "pivot_dynamic_sql": _with(
+        "buyers deals",
+        _pivot(
+            "segment",
+            ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+            "(SELECT * FROM deals JOIN buyers USING (customer_id))",
+        ),
+    ),
     "pivot_column_list": _with(
         "buyers deals",
         """SELECT string_agg(name, ', ' ORDER BY lower(name)) AS column_list FROM (
@@ -499,6 +508,14 @@ ORACLE: dict[str, str] = {
     "bulk_round_trip": _with("buyers", "SELECT customer_id, customer_name FROM buyers"),
     "xml_items_source": _with("stock", _STOCK_PLAIN),
     "xml_items_shred": _with("stock", _STOCK_PLAIN),
+    "xml_items_split": _with("stock", _STOCK_PLAIN),
+    "xml_load_rejects": _with(
+        "stock",
+        """SELECT 'not a valid record' AS reason, '<Item Name="' || item_name || '"><UnitPrice>'
+            || CASE WHEN item_id % 10 = 3 THEN 'soon</UnitPrice>' ELSE CAST(unit_price AS VARCHAR) || '</Price>' END
+            || '</Item>' AS record
+        FROM stock WHERE item_id % 10 IN (3, 7)""",
+    ),
     "xml_export_round_trip": _with("stock", _STOCK_PLAIN),
     "xml_items_merge": _with(
         "stock",

@@ -14,6 +14,7 @@ from ledgerloom.plans import (
     constraints,
     crosstabs,
     documents,
+    dynamic_sql,
     listings,
     parameters,
     ranking,
@@ -126,6 +127,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "idle_salespeople_left_join": lambda c: subqueries.idle_salespeople(c.people, c.sales, "1998-07-04"),
     "min_price_items": lambda c: subqueries.min_price_items(c.items),
     "min_price_join": lambda c: subqueries.min_price_join(c.items),
+    "min_price_items_sql": lambda c: dynamic_sql.min_price_items_sql(c.items),
     "min_price_one": lambda c: subqueries.min_price_one(c.items),
     "top_payers_in": lambda c: subqueries.top_payers_in(c.customers, c.orders),
     "top_payers_cte": lambda c: subqueries.top_payers_join(c.customers, c.orders),
@@ -157,6 +159,9 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "pivot_dynamic": lambda c: crosstabs.pivot_dynamic(
         c.orders, _half_in_small_letters(c.customers, "segment", "customer_id"), "segment"
     ),
+    "pivot_dynamic_sql": lambda c: dynamic_sql.pivot_dynamic_sql(
+        c.orders, _half_in_small_letters(c.customers, "segment", "customer_id"), "segment"
+    ),
     "pivot_column_list": lambda c: crosstabs.pivot_column_list(
         c.orders, _half_in_small_letters(c.customers, "segment", "customer_id"), "segment"
     ),
@@ -186,6 +191,8 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "bulk_round_trip": lambda c: changes.bulk_round_trip(c.customers),
     # XML and JSON
     "xml_items_source": lambda c: documents.xml_items_source(c.stock_items),
+    "xml_items_split": lambda c: documents.xml_items_split(c.stock_items),
+    "xml_load_rejects": lambda c: documents.xml_load_rejects(c.stock_items),
     "xml_items_shred": lambda c: documents.xml_items_shred(c.stock_items),
     "xml_items_merge": lambda c: _merge_items(c).snapshot,
     "xml_items_merge_log": lambda c: _merge_items(c).changes,

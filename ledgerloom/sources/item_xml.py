@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+from ledgerloom.sources.workspace import materialize
 
 ROOT_TAG = "StockItems"
 ROW_TAG = "Item"
@@ -80,3 +84,52 @@ def shred_items(documents: DataFrame, document: str = "value") -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Each file as one row of text."""
     return spark.read.text(path, wholetext=True)
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """Good rows, and rejected records with their file and a reason. Every record is in one of them."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def read_items_split(spark: SparkSession, path: str) -> Loaded:
+    """Items of large documents, each read by many tasks, with bad records set aside.
+
+    Files are cut at the closing row tag, which a scan can do from any place in a file, and each record is parsed by
+    itself. What cannot be cut so is rejected, never guessed at: records with a comment or CDATA section (their text may
+    hold tags), self-closed ones, text between records, and a record whose end is missing. A record that is not
+    well-formed or has a value of another type is rejected too. The parsed records become a work table, which
+    both results read.
+    """
+    schema = StructType([*StructType.fromDDL(ITEM_SCHEMA).fields, StructField("_bad", StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "rowTag": ROW_TAG}
+    end = f"</{ROW_TAG}>"
+    pieces = spark.read.option("lineSep", end).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    start = F.regexp_instr("value", F.lit(rf"<{ROW_TAG}[\s/>]"))
+    cut = pieces.select(
+        "file",
+        F.when(start > 0, F.substr("value", F.lit(1), start - 1)).otherwise(F.col("value")).alias("before"),
+        F.when(start > 0, F.concat(F.substr("value", start), F.lit(end))).alias("record"),
+    )
+    # what may stand around records: a declaration and the root's tags
+    frame = rf"^\uFEFF?\s*(<\?xml[^>]*\?>)?\s*(</{ROOT_TAG}\s*>)?\s*(<{ROOT_TAG}\s*>)?\s*$"
+    whole = F.coalesce("record", F.lit(""))
+    cut = cut.filter(F.col("record").isNotNull() | ~F.col("before").rlike(frame))
+    reason = (
+        F.when(F.concat("before", whole).rlike(r"<!--|-->|<!\[CDATA\[|\]\]>"), "comment or CDATA section")
+        .when(~F.col("before").rlike(frame), "text outside a record")
+        .when(whole.rlike(rf"<{ROW_TAG}(\s[^>]*)?/>"), "self-closed record")
+        .when(F.regexp_count(whole, F.lit(rf"<{ROW_TAG}[\s>]")) > 1, "record without an end")
+    )
+    parsed = cut.withColumn("reason", reason).withColumn("item", F.when(F.col("reason").isNull(), F.from_xml("record", schema, options)))
+    bad = F.col("reason").isNull() & (F.col("item").isNull() | F.col("item._bad").isNotNull())
+    table = materialize(
+        parsed.select(
+            "file", F.concat("before", whole).alias("record"), F.when(bad, "not a valid record").otherwise(F.col("reason")).alias("reason"), "item"
+        ),
+        "records",
+    )
+    rows = table.filter("reason is null").select("item.*").select(*_flat())
+    return Loaded(rows, table.filter("reason is not null").select("file", "reason", F.regexp_replace("record", r"^\s+", "").alias("record")))

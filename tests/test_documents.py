@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.plans import documents
+from ledgerloom.plans import crosstabs, documents, dynamic_sql
+from ledgerloom.sources import item_xml
 from ledgerloom.sources.item_xml import export_items, read_documents, read_items, shred_items
-from tests.conftest import ordered, same
+from tests.conftest import ordered, physical_plan, rows, same
 
 XML = """<StockItems>
   <Item Name="full &amp; tidy">
@@ -65,3 +66,65 @@ def test_merge_binds_columns_by_name(spark, catalog, path):
     assert (added["lead_time_days"], added["quantity_per_outer"], str(added["typical_weight"])) == (14, 12, "0.250")
     assert str(added["unit_price"]) == "32.000000" and str(added["tax_rate"]) == "15.000"
     assert ordered(result.changes.groupBy("action").count()) == [("INSERT", 2)]
+
+
+RECORD = '<Item Name="{}"><SupplierID>{}</SupplierID><Package><QuantityPerOuter>{}</QuantityPerOuter></Package></Item>'
+
+
+def test_one_large_document_is_cut_at_its_records(spark, tmp_path):
+    good = [RECORD.format(f"ёлка {i} &lt;/Item&gt;", i, i % 5) for i in range(4000)]
+    text = '<?xml version="1.0"?>\n<StockItems>\n' + "\n".join(good) + "\n</StockItems>\n"
+    (tmp_path / "one.xml").write_text(text, encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.option("lineSep", "</Item>").text(str(tmp_path / "one.xml")).rdd.getNumPartitions() > 10
+        found = item_xml.read_items_split(spark, str(tmp_path / "one.xml"))
+        assert found.rejects.isEmpty() and same(found.rows, item_xml.read_items(spark, str(tmp_path / "one.xml")))
+        assert found.rows.count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_bad_records_are_set_aside(spark, tmp_path):
+    records = [
+        RECORD.format("good", 1, 2),
+        RECORD.format("number", "many", 2),
+        '<Item Name="open"><SupplierID>1</Item>',
+        '<!-- <Item Name="hidden"></Item> -->' + RECORD.format("after a comment", 1, 2),
+        '<Item Name="cdata"><SupplierID><![CDATA[</Item>]]></SupplierID></Item>',
+        '<Item Name="self"/>' + RECORD.format("behind it", 1, 2),
+        "stray text " + RECORD.format("stray", 1, 2),
+        '<Item Name="no end">' + RECORD.format("next", 1, 2),
+        RECORD.format("good too", 3, 4),
+    ]
+    (tmp_path / "a.xml").write_text("<StockItems>" + "\n".join(records) + "</StockItems>")
+    (tmp_path / "b.xml").write_text("")
+    found = item_xml.read_items_split(spark, str(tmp_path))
+    assert sorted(r.item_name for r in found.rows.collect()) == ["good", "good too"]
+    reasons = [(r.reason, r.file.rpartition("/")[2]) for r in found.rejects.collect()]
+    assert {f for _, f in reasons} == {"a.xml"}
+    counted = {}
+    for reason, _ in reasons:
+        counted[reason] = counted.get(reason, 0) + 1
+    assert counted == {
+        "not a valid record": 2, "comment or CDATA section": 4, "self-closed record": 1, "text outside a record": 1, "record without an end": 1,
+    }
+
+
+def test_sql_quotes_the_names_it_splices(spark):
+    names = ["it's", "back`tick", "a, b", "back\\slash", "Élan"]
+    customers = spark.createDataFrame(list(enumerate([*names, "IT'S", None])), "customer_id bigint, name string")
+    orders = spark.range(70).select(
+        F.col("id").alias("order_id"), (F.col("id") % 7).alias("customer_id"), F.add_months(F.lit("2020-01-05").cast("date"), (F.col("id") % 3).cast("int")).alias("order_date")
+    )
+    by_sql, plain = dynamic_sql.pivot_dynamic_sql(orders, customers, "name"), crosstabs.pivot_dynamic(orders, customers, "name")
+    assert by_sql.columns == plain.columns and len(by_sql.columns) == 6
+    assert rows(by_sql) == rows(plain)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("cells_")]
+
+
+def test_the_pivot_joins_its_customers_once(spark, catalog):
+    plan = physical_plan(crosstabs.pivot_dynamic(catalog.orders, catalog.customers, "segment"))
+    assert "Join" not in plan
