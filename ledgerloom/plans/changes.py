@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import text
 from ledgerloom.operators import mutation
 from ledgerloom.operators.topk import top
-from ledgerloom.sources.delimited import export_delimited, load_delimited
+from ledgerloom.sources.delimited import export_delimited, load_delimited, load_delimited_split, write_lines
 from ledgerloom.sources.tables import create_table, create_table_from, drop_table, read_back
 from ledgerloom.sources.workspace import materialize, new_work_path
 
@@ -73,6 +73,31 @@ def bulk_round_trip(customers: DataFrame, top_rows: int | None = None) -> DataFr
     return mutation.insert_rows(emptied, load_delimited(spark, file, demo.schema))
 
 
+def bulk_load_split(customers: DataFrame) -> DataFrame:
+    """Key and name exported and loaded from files that are cut at their line ends."""
+    spark = customers.sparkSession
+    named = customers.select(KEY, "customer_name")
+    file = new_work_path(spark, "export")
+    export_delimited(named, file)
+    return load_delimited_split(spark, file, named.schema).rows
+
+
+def bulk_load_rejects(customers: DataFrame) -> DataFrame:
+    """Lines that a load sets aside: of a list with some keys in words, some quotes left open and some names missing."""
+    spark = customers.sparkSession
+    key, name = F.col(KEY).cast("string"), F.col("customer_name")
+    line = (
+        F.when(F.col(KEY) % 10 == 3, F.concat(F.lit("no. "), key, F.lit("@"), name))
+        .when(F.col(KEY) % 10 == 5, F.concat(key, F.lit('@"'), name))
+        .when(F.col(KEY) % 10 == 7, key)
+        .otherwise(F.concat(key, F.lit("@"), name))
+    )
+    file = new_work_path(spark, "list")
+    write_lines(customers.select(line.alias("line")), file)
+    found = load_delimited_split(spark, file, "customer_id bigint, customer_name string")
+    return found.rejects.select("reason", "record")
+
+
 def catalog_table_cycle(customers: DataFrame) -> DataFrame:
     """Create a catalog table, insert the customers and then more under new keys, read it back in key order, drop it."""
     spark = customers.sparkSession

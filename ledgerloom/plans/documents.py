@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_path import explode_json, json_array, json_query, json_value
 from ledgerloom.functions.text import joined, same_text
+from ledgerloom.functions.variants import explode_at, fragment_at, scalar_at, texts_at, with_variant
 from ledgerloom.operators.mutation import Merge, merge
 from ledgerloom.sources.item_xml import export_items, read_documents, read_items, read_items_split, shred_items
 from ledgerloom.sources.workspace import new_work_path
@@ -113,3 +114,31 @@ def json_tag_search(items: DataFrame, tag: str) -> DataFrame:
             joined(json_array(fields, "$.Tags")).alias("tags"),
         )
     )
+
+
+def json_fields_variant(items: DataFrame) -> DataFrame:
+    """``json_fields`` from documents that are parsed once."""
+    document = F.col("_document")
+    return with_variant(items, "custom_fields").select(
+        "item_id",
+        "item_name",
+        scalar_at(document, "$.CountryOfManufacture").alias("country"),
+        scalar_at(document, "$.Tags[0]").alias("first_tag"),
+        scalar_at(document, "$.Tags[1]").alias("second_tag"),
+        scalar_at(document, "$.Tags").alias("tags_value"),
+    )
+
+
+def json_tag_search_variant(items: DataFrame, tag: str) -> DataFrame:
+    """``json_tag_search`` from documents that are parsed once."""
+    document = F.col("_document")
+    return (
+        explode_at(with_variant(items, "custom_fields"), "_document", "$.Tags", "tag")
+        .filter(same_text(F.col("tag"), tag))
+        .select(
+            "item_id",
+            "item_name",
+            fragment_at(document, "$.Tags").alias("tags_json"),
+            joined(texts_at(document, "$.Tags")).alias("tags"),
+        )
+    )

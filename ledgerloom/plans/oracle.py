@@ -506,6 +506,14 @@ ORACLE: dict[str, str] = {
         "newest AS (SELECT * FROM buyers ORDER BY customer_id DESC LIMIT 5)",
     ),
     "bulk_round_trip": _with("buyers", "SELECT customer_id, customer_name FROM buyers"),
+    "bulk_load_split": _with("buyers", "SELECT customer_id, customer_name FROM buyers"),
+    "bulk_load_rejects": _with(
+        "buyers",
+        """SELECT 'not a valid row' AS reason, 'no. ' || customer_id || '@' || customer_name AS record
+        FROM buyers WHERE customer_id % 10 = 3
+        UNION ALL SELECT 'quote left open', customer_id || '@"' || customer_name FROM buyers WHERE customer_id % 10 = 5
+        UNION ALL SELECT 'not a valid row', CAST(customer_id AS VARCHAR) FROM buyers WHERE customer_id % 10 = 7""",
+    ),
     "xml_items_source": _with("stock", _STOCK_PLAIN),
     "xml_items_shred": _with("stock", _STOCK_PLAIN),
     "xml_items_split": _with("stock", _STOCK_PLAIN),
@@ -618,3 +626,6 @@ ORACLE: dict[str, str] = {
         CAST(date_created AS VARCHAR) AS date_created, CAST(expected_date AS VARCHAR) AS expected_date,
         id_employee, date_created IS NULL AS defaulted FROM sales""",
 }
+# the same rows by another way of reading the documents
+ORACLE["json_fields_variant"] = ORACLE["json_fields"]
+ORACLE["json_tag_search_variant"] = ORACLE["json_tag_search"]

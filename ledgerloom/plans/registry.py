@@ -189,6 +189,8 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "order_totals_kept": lambda c: upkept.order_totals_kept(_plain_orders(c)),
     "catalog_table_cycle": lambda c: changes.catalog_table_cycle(c.customers),
     "bulk_round_trip": lambda c: changes.bulk_round_trip(c.customers),
+    "bulk_load_split": lambda c: changes.bulk_load_split(c.customers),
+    "bulk_load_rejects": lambda c: changes.bulk_load_rejects(c.customers),
     # XML and JSON
     "xml_items_source": lambda c: documents.xml_items_source(c.stock_items),
     "xml_items_split": lambda c: documents.xml_items_split(c.stock_items),
@@ -199,6 +201,8 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "xml_export_round_trip": lambda c: documents.xml_export_round_trip(c.stock_items),
     "json_fields": lambda c: documents.json_fields(c.item_fields),
     "json_tag_search": lambda c: documents.json_tag_search(c.item_fields, "ring"),
+    "json_fields_variant": lambda c: documents.json_fields_variant(c.item_fields),
+    "json_tag_search_variant": lambda c: documents.json_tag_search_variant(c.item_fields, "ring"),
     # query functions
     "best_customer": lambda c: parameters.best_customer(c.orders, c.lines),
     "customer_total_param": lambda c: parameters.customer_total(c.orders, c.lines, 9),

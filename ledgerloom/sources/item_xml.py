@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from ledgerloom.sources.tables import Loaded
 from ledgerloom.sources.workspace import materialize
 
 ROOT_TAG = "StockItems"
@@ -86,14 +85,6 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
-@dataclass(frozen=True)
-class Loaded:
-    """Good rows, and rejected records with their file and a reason. Every record is in one of them."""
-
-    rows: DataFrame
-    rejects: DataFrame
-
-
 def read_items_split(spark: SparkSession, path: str) -> Loaded:
     """Items of large documents, each read by many tasks, with bad records set aside.
 

@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """Good rows, and rejected records with their file and a reason. Every record is in one of them."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
 def read_table(spark: SparkSession, folder: str, name: str, schema: StructType | str) -> DataFrame:
     """Scan with a declared schema, so that building a query starts no job to look at the files."""
     return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
