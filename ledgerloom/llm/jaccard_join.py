@@ -51,8 +51,27 @@ def survival(depth: int) -> float:
     return alive
 
 
-def runs_for(recall: float, depth: int) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(depth)))
+def runs_for(recall: float, depth: int, threshold: float = THRESHOLD) -> int:
+    """Runs that the recall takes: as many as expected draws ask for, and more if the seed's own draws are too few."""
+    runs = max(1, math.ceil(math.log(1 - recall) / math.log(1 - survival(depth))))
+    while recall_of(runs, depth, threshold) < recall:
+        runs += 1
+    return runs
+
+
+def recall_of(runs: int, depth: int, threshold: float = THRESHOLD) -> float:
+    """Chance that a pair of exactly the threshold's similarity meets, by the coordinates that the runs draw at the root.
+
+    A coordinate is shared with the threshold's chance, by all runs that draw it at once; from there on runs differ.
+    """
+    roots = np.array([root_path(run) for run in range(runs)], dtype=np.uint64)
+    often = (_draws(roots) <= _limit(threshold)).sum(axis=0)
+    missed = 1 - threshold + threshold * (1 - survival(depth - 1)) ** often
+    return 1 - float(missed.prod())
+
+
+def root_path(run: int) -> np.uint64:
+    return mixed(np.array([SEED * 1_000_003 + run + 1], dtype=np.uint64))[0]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -121,12 +140,19 @@ def _token_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(len(column), HASHES)
 
 
+def _draws(paths: np.ndarray) -> np.ndarray:
+    """A number for each path and coordinate; low ones are sampled."""
+    return mixed(paths[:, None] ^ mixed(np.arange(1, HASHES + 1, dtype=np.uint64))[None, :])
+
+
+def _limit(threshold: float) -> np.uint64:
+    return np.uint64(int((1 << 64) / (threshold * HASHES)) - 1)
+
+
 def children(paths: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(row, child path) of every sampled token: a coordinate is sampled by the path alone."""
-    limit = np.uint64(int((1 << 64) / (threshold * HASHES)) - 1)
-    steps = mixed(np.arange(1, HASHES + 1, dtype=np.uint64))
-    drawn = mixed(paths[:, None] ^ steps[None, :])
-    rows, at = np.nonzero(drawn <= limit)
+    drawn = _draws(paths)
+    rows, at = np.nonzero(drawn <= _limit(threshold))
     return rows, mixed(drawn[rows, at] + tokens[rows, at].astype(np.uint64) + np.uint64(1))
 
 
@@ -135,7 +161,7 @@ def _roots(runs: int, threshold: float):
         for batch in batches:
             tokens, nodes = _token_rows(batch.column(1)), batch.column(0).to_numpy()
             for run in range(runs):
-                root = np.full(len(nodes), mixed(np.array([SEED * 1_000_003 + run + 1], dtype=np.uint64))[0])
+                root = np.full(len(nodes), root_path(run))
                 rows, paths = children(root, tokens, threshold)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), pa.array(paths.view(np.int64))], names=["node", "path"])
 
@@ -240,7 +266,7 @@ def _in_blocks(rows: DataFrame, size: str, limit: int, identity: str) -> DataFra
 def candidate_edges(sets: DataFrame, threshold: float, recall: float, depth: int, small: int) -> DataFrame:
     """Edges that connect the candidates found by all runs, from ``sets`` (node, tokens)."""
     schema = "node bigint, path bigint"
-    level = sets.select("node", "tokens").mapInArrow(_roots(runs_for(recall, depth), threshold), schema)
+    level = sets.select("node", "tokens").mapInArrow(_roots(runs_for(recall, depth, threshold), threshold), schema)
     leaves = None
     for at in range(1, depth + 1):
         level = materialize(level, "paths")
@@ -261,16 +287,25 @@ def candidate_edges(sets: DataFrame, threshold: float, recall: float, depth: int
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
+    """The set of each node once, however often its row is repeated in the task."""
+    words, sent = WordHashes(), set()
     for batch in batches:
-        sets = [shingles(t, words).tobytes() for t in batch.column(5).to_pylist()]
-        keys = [xxhash.xxh3_128_intdigest(s) for s in sets]
-        same = [
-            (k >> 64) - (1 << 63) == high and (k & ((1 << 64) - 1)) - (1 << 63) == low
-            for k, high, low in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist())
-        ]
-        columns = [*batch.columns[:3], pa.array(sets, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["node", "component", "copies", "set"]).filter(pa.array(same, pa.bool_()))
+        if len(sent) > _REMEMBERED:  # a node met again after that is folded where sets are compared
+            sent.clear()
+        keep, sets = [], []
+        found = zip(*(batch.column(c).to_pylist() for c in (0, 3, 4, 5)))
+        for at, (node, high, low, text) in enumerate(found):
+            if node in sent:
+                continue
+            values = shingles(text, words).tobytes()
+            key = xxhash.xxh3_128_intdigest(values)
+            # another text with the same 64-bit place is not this node's
+            if (key >> 64) - (1 << 63) == high and (key & ((1 << 64) - 1)) - (1 << 63) == low:
+                sent.add(node)
+                keep.append(at)
+                sets.append(values)
+        rows = batch.take(pa.array(keep, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(sets, pa.binary())], names=["node", "component", "copies", "set"])
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerloom.llm import orchard, positional_index
+from ledgerloom.llm.jaccard_join import SHINGLE_WORDS, THRESHOLD
 from ledgerloom.llm.mixing import MAX_REPEATS, SCHEDULES, WEIGHTS
 from ledgerloom.llm.url_filter import LOWER, RULES, VOCABULARY
 
@@ -55,6 +56,41 @@ def _url_filter_sql() -> str:
     """
 
 
+# all pairs of different shingle sets that share a shingle, and classes by closure over the links
+_SIMILAR = f"""
+WITH RECURSIVE cut AS MATERIALIZED (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_WORDS}') AS words FROM documents
+), shingled AS MATERIALIZED (
+  SELECT place, doc_id, list_sort(list_distinct(CASE WHEN len(words) < {SHINGLE_WORDS} THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - {SHINGLE_WORDS - 2}), lambda i: array_to_string(words[i:i + {SHINGLE_WORDS - 1}], ' ')) END)) AS found
+  FROM cut WHERE len(words) > 0
+), keyed AS MATERIALIZED (
+  SELECT place, doc_id, md5(array_to_string(found, chr(10))) AS node, len(found) AS size, found FROM shingled
+), sets AS MATERIALIZED (
+  SELECT node, any_value(size) AS size, any_value(found) AS found, count(*) AS copies FROM keyed GROUP BY node
+), elements AS MATERIALIZED (SELECT node, size, unnest(found) AS shingle FROM sets
+), shared AS (
+  SELECT a.node AS a, b.node AS b, any_value(a.size) AS size_a, any_value(b.size) AS size_b, count(*) AS common
+  FROM elements a JOIN elements b ON a.shingle = b.shingle AND a.node <> b.node
+    AND least(a.size, b.size) >= {THRESHOLD} * greatest(a.size, b.size) - 1e-9
+  GROUP BY a.node, b.node
+), links AS MATERIALIZED (
+  SELECT a, b FROM shared WHERE common >= {THRESHOLD} * (size_a + size_b - common) - 1e-9
+), reached AS (
+  SELECT node, node AS other FROM sets UNION SELECT reached.node, links.b FROM reached JOIN links ON reached.other = links.a
+), classes AS MATERIALIZED (SELECT node, min(other) AS root FROM reached GROUP BY node
+), linked AS (SELECT a AS node, sum(copies) AS links FROM links JOIN sets ON links.b = sets.node GROUP BY a
+), placed AS (
+  SELECT doc_id, sets.copies, coalesce(links, 0) AS links, count(*) OVER whole AS class_size, min(doc_id) OVER whole AS class_id,
+    row_number() OVER (PARTITION BY root ORDER BY doc_id NULLS LAST, place) = 1 AS kept
+  FROM keyed JOIN classes USING (node) JOIN sets USING (node) LEFT JOIN linked USING (node)
+  WINDOW whole AS (PARTITION BY root)
+)
+SELECT doc_id, class_id, class_size, CAST(links + copies - 1 AS BIGINT) AS n_links, kept FROM placed
+UNION ALL SELECT doc_id, doc_id, 1, 0, true FROM cut WHERE len(words) = 0
+"""
+
+
 _EXACT_DEDUP = f"""
 WITH hashed AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g')) AS text_sha256 FROM documents
@@ -213,6 +249,7 @@ def _orchard_sql() -> str:
 
 ORACLE: dict[str, str] = {
     "op3_url_filter": _url_filter_sql(),
+    "op6_chosen_path": _SIMILAR,
     "op7_exact_dedup": _EXACT_DEDUP,
     "op10_curriculum_mix": _mix_sql(),
     "op12_positional_index": _positional_index_sql(),

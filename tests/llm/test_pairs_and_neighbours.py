@@ -92,6 +92,48 @@ def test_runs_follow_from_recall():
     assert (1 - jaccard_join.survival(4)) ** jaccard_join.runs_for(0.99, 4) <= 0.01
 
 
+def test_runs_make_up_for_a_seed_that_draws_little(monkeypatch):
+    """The recall is that of the coordinates really drawn, whatever the seed."""
+    counts = set()
+    for seed in range(60):
+        monkeypatch.setattr(jaccard_join, "SEED", seed)
+        runs = jaccard_join.runs_for(0.99, 4)
+        assert jaccard_join.recall_of(runs, 4) >= 0.99
+        counts.add(runs)
+    assert min(counts) == 13 and max(counts) > 13
+
+
+def test_pairs_meet_as_often_as_the_draws_say():
+    """Sets of tokens that agree on each coordinate with the threshold's chance, through all levels."""
+    chance, depth, pairs = np.random.default_rng(3), 3, 2000
+    left = chance.integers(0, 1 << 32, (pairs, jaccard_join.HASHES), dtype=np.uint32)
+    right = np.where(chance.random(left.shape) < 0.8, left, left + np.uint32(1))
+    met = np.zeros(pairs, dtype=bool)
+    for run in range(5):
+        paths = np.full(pairs, jaccard_join.root_path(run)), np.full(pairs, jaccard_join.root_path(run))
+        rows = np.arange(pairs), np.arange(pairs)
+        for _ in range(depth):
+            split = [jaccard_join.children(p, t[r], 0.8) for p, t, r in zip(paths, (left, right), rows)]
+            rows = [r[at] for r, (at, _) in zip(rows, split)]
+            paths = [p for _, p in split]
+        held = set(zip(rows[0].tolist(), paths[0].tolist()))
+        met[[r for r, p in zip(rows[1].tolist(), paths[1].tolist()) if (r, p) in held]] = True
+    assert met.mean() == pytest.approx(jaccard_join.recall_of(5, depth), abs=0.05)
+
+
+def test_a_repeated_row_sends_its_set_once():
+    text = "one two three four five six"
+    key = jaccard_join.xxhash.xxh3_128_intdigest(jaccard_join.shingles(text, jaccard_join.WordHashes()).tobytes())
+    high, low = (key >> 64) - (1 << 63), (key & ((1 << 64) - 1)) - (1 << 63)
+    names = ["node", "component", "copies", "high", "low", "text"]
+    batch = jaccard_join.pa.RecordBatch.from_pylist(
+        [dict(zip(names, (n, 1, 9, high, low, t))) for n, t in [(7, "some other text here too")] + [(7, text)] * 50 + [(8, text)]]
+    )
+    sent = [r for out in jaccard_join._with_sets(iter([batch, batch])) for r in out.to_pylist()]
+    assert [(r["node"], r["copies"]) for r in sent] == [(7, 9), (8, 9)]
+    assert len(sent[0]["set"]) == 8 * 2
+
+
 def test_components(spark):
     random.seed(6)
     edges = [(random.randrange(200), random.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 360)] + [(7, 7)]
