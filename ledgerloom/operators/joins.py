@@ -15,6 +15,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# up to so many keys are looked up by value, which lets a scan skip files, buckets and row groups
+LISTED_KEYS = 1_000
+
+
+def listed(keys: DataFrame) -> list | None:
+    """The non-NULL values of ``keys`` (one column), or None if it has more than ``LISTED_KEYS`` rows with one."""
+    found = keys.toDF("_key").filter("_key is not null").limit(LISTED_KEYS + 1).collect()
+    return sorted({r[0] for r in found}) if len(found) <= LISTED_KEYS else None
+
 
 def distinct_keys(df: DataFrame, *columns: str) -> DataFrame:
     """Each non-NULL key once.

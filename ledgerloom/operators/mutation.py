@@ -10,19 +10,31 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import joins
 from ledgerloom.operators.joins import keep_absent, keep_present
 from ledgerloom.operators.positions import with_position
 from ledgerloom.sources.workspace import materialize
 
 
+# up to so many new rows are numbered by one task
+FEW_ROWS = 10_000
+
+
 def with_new_keys(rows: DataFrame, snapshot: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """Give ``rows`` the keys after the highest one of ``snapshot``, in ``order``."""
+    """Give ``rows`` the keys after the highest one of ``snapshot``, in ``order``.
+
+    The rows are written first: finding the bounds of a range-sort would work them out a second time.
+    """
     key_type = snapshot.schema[key].dataType
     highest = snapshot.agg(F.coalesce(F.max(key), F.lit(0).cast(key_type))).scalar()
-    placed = with_position(rows, order, "_place")
+    rows = materialize(rows, "new-rows")
+    if rows.count() <= FEW_ROWS:
+        placed = rows.withColumn("_place", F.row_number().over(Window.orderBy(*order)) - 1)
+    else:
+        placed = with_position(rows, order, "_place")
     return placed.withColumn(key, (highest + F.col("_place") + 1).cast(key_type)).drop("_place")
 
 
@@ -45,17 +57,23 @@ def insert_rows(
     return snapshot.unionByName(rows, allowMissingColumns=True)
 
 
-def pick_rows(snapshot: DataFrame, predicate: Column, n: int, key: str) -> DataFrame:
-    """The keys of the first n matching rows, by key.
+def pick_rows(snapshot: DataFrame, predicate: Column, n: int, key: str) -> tuple[DataFrame, Column]:
+    """``snapshot``, and which of its rows hold the keys of the first n matching rows, by key.
 
-    They become a work table of n rows: the choice is made once, and a run of changes reads its
-    snapshot once instead of twice per step.
+    The choice is made once, so a run of changes reads its snapshot once instead of twice per step. Few keys are
+    listed in the condition, so that it stays a filter; more become a work table of n rows that is joined.
     """
-    return materialize(snapshot.filter(predicate).select(key).orderBy(key).limit(n), "picked")
+    first = snapshot.filter(predicate).select(key).orderBy(key).limit(n)
+    if n <= joins.LISTED_KEYS:
+        keys = [r[0] for r in first.collect() if r[0] is not None]
+        return snapshot, F.coalesce(F.col(key).isin(keys), F.lit(False)) if keys else F.lit(False)
+    picked = materialize(first, "picked").dropna().distinct().withColumn("_picked", F.lit(True))
+    return snapshot.join(picked, key, "left"), F.col("_picked").isNotNull()
 
 
 def delete_top(snapshot: DataFrame, predicate: Column, n: int, key: str) -> DataFrame:
-    return snapshot.join(pick_rows(snapshot, predicate, n, key), key, "left_anti")
+    marked, picked = pick_rows(snapshot, predicate, n, key)
+    return marked.filter(~picked).select(*snapshot.columns)
 
 
 def delete_where(snapshot: DataFrame, predicate: Column) -> DataFrame:
@@ -88,9 +106,8 @@ def update_where(snapshot: DataFrame, predicate: Column, assignments: Mapping[st
 def update_top(
     snapshot: DataFrame, predicate: Column, n: int, key: str, assignments: Mapping[str, Column]
 ) -> DataFrame:
-    picked = pick_rows(snapshot, predicate, n, key).withColumn("_picked", F.lit(True))
-    marked = snapshot.join(picked, key, "left")
-    return _assigned(marked, snapshot.columns, F.col("_picked"), assignments)
+    marked, picked = pick_rows(snapshot, predicate, n, key)
+    return _assigned(marked, snapshot.columns, picked, assignments)
 
 
 @dataclass(frozen=True)
@@ -119,7 +136,7 @@ def _reject_ambiguous(target: DataFrame, source: DataFrame, on: Sequence[str]) -
     repeated = (
         source.dropna(subset=list(on)).groupBy(*on).agg(F.count("*").alias("_n")).filter("_n > 1")
     )
-    if not keep_present(repeated, target, on).isEmpty():
+    if not repeated.isEmpty() and not keep_present(repeated, target, on).isEmpty():
         names = ", ".join(c.removeprefix(_MATCH) for c in on)
         raise ValueError(f"several source rows match one target row on {names}")
 

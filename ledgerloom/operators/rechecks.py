@@ -13,25 +13,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality
+from ledgerloom.operators.joins import listed
 from ledgerloom.operators.quality import RowRule
 from ledgerloom.operators.upkeep import log_sides
 from ledgerloom.sources.workspace import materialize
 
-# up to so many keys are looked up by value, which lets a scan skip files, buckets and row groups
-LISTED_KEYS = 1_000
-
-
 def log_columns(log: DataFrame) -> list[str]:
     return [c.removeprefix("deleted_") for c in log.columns if c.startswith("deleted_")]
 
 
-def rows_with(table: DataFrame, column: str, keys: DataFrame, listed: int = LISTED_KEYS) -> DataFrame:
+def rows_with(table: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows of ``table`` whose ``column`` is among ``keys`` (one column, a small written table); NULL is like no key."""
     found = keys.toDF("_key").filter("_key is not null").distinct()
-    few = found.limit(listed + 1).collect()
-    if len(few) <= listed:
-        return table.filter(F.col(column).isin([r[0] for r in few])) if few else table.limit(0)
-    return table.join(found, F.col(column) == F.col("_key"), "left_semi")
+    few = listed(found)
+    if few is None:
+        return table.join(found, F.col(column) == F.col("_key"), "left_semi")
+    return table.filter(F.col(column).isin(few)) if few else table.limit(0)
 
 
 def _sides(log: DataFrame) -> tuple[DataFrame, DataFrame]:

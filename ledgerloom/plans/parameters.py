@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import sort_list
+from ledgerloom.operators.joins import listed
 from ledgerloom.operators.topk import top
 from ledgerloom.plans.sales import line_amount
 from ledgerloom.sources.tables import literal_rows
@@ -21,9 +22,14 @@ def best_customer(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def customer_total(orders: DataFrame, lines: DataFrame, customer_id: int) -> DataFrame:
     """What one customer bought in total: one row, NULL if nothing."""
-    # written first: the few orders' real size is known then, and the lines need no shuffle to meet them
-    own = materialize(orders.filter(F.col("customer_id") == customer_id).select("order_id"), "own-orders")
-    return lines.join(own, "order_id").agg(F.sum(line_amount()).alias("total"))
+    own = orders.filter(F.col("customer_id") == customer_id).select("order_id")
+    few = listed(own)
+    if few is None:
+        # written first: the orders' real size is known then, and the lines need no shuffle to meet a small set
+        bought = lines.join(materialize(own, "own-orders"), "order_id", "left_semi")
+    else:
+        bought = lines.filter(F.col("order_id").isin(few)) if few else lines.limit(0)
+    return bought.agg(F.sum(line_amount()).alias("total"))
 
 
 def customer_totals(customers: DataFrame, orders: DataFrame, lines: DataFrame) -> DataFrame:

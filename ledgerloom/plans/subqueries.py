@@ -92,9 +92,7 @@ def top_item_cities(
     orders_with = materialize(
         distinct_keys(lines.join(dearest, "item_id", "left_semi"), "order_id"), "orders"
     )
-    picked = materialize(
-        lines.join(orders_with, "order_id", "left_semi").select("order_id", "picker_id"), "picked"
-    )
+    picked = materialize(picked_lines(lines, orders_with), "picked")
     picks = (
         picked.distinct()
         .join(orders.select("order_id", "customer_id"), "order_id")
@@ -105,6 +103,11 @@ def top_item_cities(
     return _named_places(places, cities, people)
 
 
+def picked_lines(lines: DataFrame, orders_with: DataFrame) -> DataFrame:
+    """Order and picker of the lines of ``orders_with``, a written table, so that a hot order can be split."""
+    return lines.join(orders_with, "order_id", "left_semi").select("order_id", "picker_id")
+
+
 def _named_places(places: DataFrame, cities: DataFrame, people: DataFrame) -> DataFrame:
     pickers = people.select(F.col("person_id").alias("picker_id"), "full_name")
     return (
@@ -115,31 +118,44 @@ def _named_places(places: DataFrame, cities: DataFrame, people: DataFrame) -> Da
 
 
 def top_item_cities_nested(
-    sales: DataFrame, lines: DataFrame, items: DataFrame, customers: DataFrame, cities: DataFrame,
+    orders: DataFrame, lines: DataFrame, items: DataFrame, customers: DataFrame, cities: DataFrame,
     people: DataFrame, n: int = 3,
 ) -> DataFrame:
-    """The same as nested IN subqueries; the n-th price is the lowest of the n first."""
-    return people.sparkSession.sql(
+    """The same as nested IN subqueries; the n-th price is the lowest of the n first.
+
+    The inner list of orders and their lines are written, as above: one statement would put the IN list and the
+    join with the orders into one stage by the same key, where a hot order stays in one task.
+    """
+    spark = people.sparkSession
+    orders_with = spark.sql(
+        """
+        SELECT DISTINCT order_id FROM {lines}
+        WHERE item_id IN (
+            SELECT item_id FROM {items}
+            WHERE unit_price >= (
+                SELECT min(unit_price) FROM (
+                    SELECT unit_price FROM {items} ORDER BY unit_price DESC LIMIT :n)))
+        """,
+        args={"n": n}, lines=lines, items=items,
+    )
+    picked = spark.sql(
+        "SELECT order_id, picker_id FROM {lines} WHERE order_id IN (SELECT order_id FROM {orders_with})",
+        lines=lines, orders_with=materialize(orders_with.dropna(), "orders"),
+    )
+    return spark.sql(
         """
         SELECT cp.city_id, c.city_name, coalesce(p.full_name, '--') AS picker
         FROM (
             SELECT DISTINCT cu.city_id, s.picker_id
-            FROM {sales} AS s JOIN {customers} AS cu ON cu.customer_id = s.customer_id
-            WHERE s.order_id IN (
-                SELECT order_id FROM (
-                    SELECT DISTINCT order_id FROM {lines}
-                    WHERE item_id IN (
-                        SELECT DISTINCT item_id FROM {items}
-                        WHERE unit_price >= (
-                            SELECT min(unit_price) FROM (
-                                SELECT unit_price FROM {items} ORDER BY unit_price DESC LIMIT :n))))
-            )
+            FROM (SELECT DISTINCT order_id, picker_id FROM {picked}) AS s
+            JOIN {orders} AS o ON o.order_id = s.order_id
+            JOIN {customers} AS cu ON cu.customer_id = o.customer_id
         ) AS cp
         JOIN {cities} AS c ON c.city_id = cp.city_id
         LEFT JOIN {people} AS p ON p.person_id = cp.picker_id
         """,
-        args={"n": n},
-        sales=sales, lines=lines, items=items, customers=customers, cities=cities, people=people,
+        picked=materialize(picked, "picked"),
+        orders=orders, customers=customers, cities=cities, people=people,
     )
 
 

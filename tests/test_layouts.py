@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import mutation, partitioned, quality, rechecks, upkeep
+from ledgerloom.operators import joins, mutation, partitioned, quality, rechecks, upkeep
 from ledgerloom.plans import ranking, sales
 from ledgerloom.sources.layouts import bucket_facts, month_of, write_by_month
 from ledgerloom.sources.workspace import materialize
@@ -146,7 +146,7 @@ def _all_violations(rows, parents):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_totals_and_violations_follow_the_log(spark, monkeypatch, seed):
-    monkeypatch.setattr(rechecks, "LISTED_KEYS", 3 if seed == 1 else 1000)
+    monkeypatch.setattr(joins, "LISTED_KEYS", 3 if seed == 1 else 1000)
     rng = random.Random(seed)
     rows = _rows(rng, [*range(60), *range(0, 60, 9), *([None] * 3)])
     table = write_by_month(_table(spark, rows), "day")

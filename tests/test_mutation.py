@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import starts_with_text
-from ledgerloom.operators import mutation
+from ledgerloom.operators import joins, mutation
 from ledgerloom.operators.mutation import merge
 from ledgerloom.plans import changes
 from ledgerloom.sources.delimited import export_delimited, load_delimited
@@ -48,6 +48,43 @@ def test_top_changes_pick_by_key(people):
     assert found.schema == people.schema or found.dtypes == people.dtypes
 
 
+def test_many_picked_keys_and_many_new_rows_give_the_same(spark, people, monkeypatch):
+    has_score = F.col("score").isNotNull()
+    source = spark.createDataFrame([("ann", 10), ("zoe", 7), ("yan", 8), (None, 1)], "name string, score int")
+
+    def results():
+        return [
+            ordered(mutation.delete_top(people, has_score, 2, "id")),
+            ordered(mutation.update_top(people, has_score, 2, "id", {"score": F.lit(0)})),
+            ordered(merge(people, source, ["name"], ["score"], key="id").snapshot),
+        ]
+
+    few = results()
+    monkeypatch.setattr(joins, "LISTED_KEYS", 1)
+    monkeypatch.setattr(mutation, "FEW_ROWS", 1)
+    assert results() == few
+    assert [r[0] for r in few[0]] == [3, 5] and few[1][0] == (1, "ann", 0)
+
+
+def test_rows_without_a_key_stay_when_others_are_picked(spark, monkeypatch):
+    some = spark.createDataFrame([(None, "a"), (1, "a"), (1, "a"), (2, "a")], "id bigint, name string")
+    for most in (1000, 0):
+        monkeypatch.setattr(joins, "LISTED_KEYS", most)
+        assert ordered(mutation.delete_top(some, F.col("name") == "a", 3, "id").select("id")) == [(2,), (None,)]
+        found = mutation.update_top(some, F.col("name") == "a", 3, "id", {"name": F.lit("b")})
+        assert ordered(found) == [(1, "b"), (1, "b"), (2, "a"), (None, "a")]
+
+
+def test_changes_of_the_customers_start_few_jobs(spark, catalog):
+    tracker, group = spark.sparkContext.statusTracker(), "customer-changes"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        changes.merge_scratch(changes.changed_customers(catalog.customers))
+        assert len(tracker.getJobIdsForGroup(group)) <= 30
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_unknown_predicates_change_nothing(people):
     assert ordered(mutation.delete_where(people, F.col("score") > 15).select("id")) == [(1,), (3,)]
     found = mutation.update_where(people, F.col("score") > 15, {"score": F.col("score") + 1})

@@ -6,8 +6,10 @@ import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import joins
 from ledgerloom.plans import listings, parameters, ranking, sales, subqueries
 from ledgerloom.plans.registry import run
+from ledgerloom.sources.workspace import materialize
 from tests.conftest import ordered, physical_plan, rows, same
 
 TWINS = [
@@ -176,6 +178,44 @@ def test_hot_item_is_split_among_its_buyers(hot, small_partitions):
     assert same(found.select("customer_id"), expected)
 
 
+def test_hot_order_is_split_among_its_pickers(spark, hot, small_partitions, monkeypatch):
+    lines = hot["lines"].withColumn("picker_id", F.col("line_number") % 11)
+    customers = hot["customers"].withColumn("city_id", F.col("customer_id") % 20)
+    cities = spark.range(20).select(F.col("id").alias("city_id"), F.concat(F.lit("t"), "id").alias("city_name"))
+    people = spark.range(9).select(F.col("id").alias("person_id"), F.concat(F.lit("p"), "id").alias("full_name"))
+    tables = hot["orders"], lines, hot["items"], customers, cities, people
+    plans = []
+
+    def seen(df, label):
+        written = materialize(df, label)
+        if label == "picked":
+            plans.append(_final_plan(df))
+        return written
+
+    monkeypatch.setattr(subqueries, "materialize", seen)
+    nested, chained = subqueries.top_item_cities_nested(*tables), subqueries.top_item_cities(*tables)
+    assert len(plans) == 2 and all("skew=true" in plan for plan in plans)
+    wanted = lines.join(lines.filter("item_id >= 47").select("order_id").distinct(), "order_id")
+    expected = (
+        wanted.join(hot["orders"], "order_id").join(customers, "customer_id").select("city_id", "picker_id").distinct()
+        .join(cities, "city_id").join(people.toDF("picker_id", "name"), "picker_id", "left")
+        .select("city_id", "city_name", F.coalesce("name", F.lit("--")).alias("picker"))
+    )
+    assert same(nested, expected) and same(chained, expected)
+
+
+def test_total_of_a_customer_with_many_orders(hot, monkeypatch):
+    expected = (
+        hot["orders"].filter("customer_id = 1").join(hot["lines"], "order_id")
+        .agg(F.sum(F.col("unit_price") * F.col("quantity"))).first()[0]
+    )
+    assert hot["orders"].filter("customer_id = 1").count() > joins.LISTED_KEYS
+    assert parameters.customer_total(hot["orders"], hot["lines"], 1).first()[0] == expected
+    monkeypatch.setattr(joins, "LISTED_KEYS", 1_000_000)
+    by_value = parameters.customer_total(hot["orders"], hot["lines"], 1)
+    assert "Join" not in physical_plan(by_value) and by_value.first()[0] == expected
+
+
 def test_hot_order_sums_before_the_shuffle(hot):
     df = sales.monthly_sales(hot["orders"], hot["lines"])
     assert "partial_sum" in physical_plan(df)
